@@ -25,8 +25,13 @@ def _col(c: Column | str) -> Column:
 
 
 def lon_to_180(lon: Column | str) -> Column:
-    """0..360 to -180..180 (180 itself becomes -180)."""
-    return F.pmod(_col(lon) + 180, F.lit(360.0)) - 180
+    """0..360 to -180..180 (180 itself becomes -180).
+
+    A value already in range is passed on bit for bit, so it still joins.
+    """
+    c = _col(lon)
+    inside = (c >= -180) & (c < 180)
+    return F.when(inside, c).otherwise(F.pmod(c + 180, F.lit(360.0)) - 180)
 
 
 def lon_to_360(lon: Column | str) -> Column:
