@@ -316,16 +316,16 @@ QUERIES = {
 
 def _box_sql(sizes, pick: str) -> str:
     """Brute-force stencil: every cell against its clamped neighbours."""
-    ctes = [f"raster as ({PART_RASTER})", "dims as (select max(c) as mc, max(r) as mr from raster)"]
+    ctes = [f"raster as materialized ({PART_RASTER})", "dims as (select max(c) as mc, max(r) as mr from raster)"]
     for w in sizes:
         h = w // 2
         ctes.append(f"""
+            want{w} as materialized (
+                select lon, lat, greatest(0, least(mc, c + dc)) as bc, greatest(0, least(mr, r + dr)) as br from raster cross join dims
+                cross join (select unnest(generate_series(-{h}, {h})) as dc) cross join (select unnest(generate_series(-{h}, {h})) as dr)),
             box{w} as (
                 select a.lon, a.lat, avg(b.altitude) as m, min(b.altitude) as lo, max(b.altitude) as hi
-                from raster a cross join dims
-                cross join (select unnest(generate_series(-{h}, {h})) as dc) cross join (select unnest(generate_series(-{h}, {h})) as dr)
-                join raster b on b.c = greatest(0, least(mc, a.c + dc)) and b.r = greatest(0, least(mr, a.r + dr))
-                group by 1, 2)""")
+                from want{w} a join raster b on b.c = a.bc and b.r = a.br group by 1, 2)""")
     joins = " ".join(f"join box{w} on box{w}.lon = raster.lon and box{w}.lat = raster.lat" for w in sizes)
     values = ", ".join(pick.replace("WW", str(w)) for w in sizes)
     return f"with {', '.join(ctes)} select raster.lon, raster.lat, raster.altitude, {values} from raster {joins}"

@@ -169,15 +169,31 @@ def _small(axis_map: DataFrame, lines: int) -> DataFrame:
     return F.broadcast(axis_map) if 2 * lines <= AXIS_BROADCAST_ROWS else axis_map
 
 
-def regrid_nearest(cells: DataFrame, grid: GridSpec, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Relabel cells to the nearest target nodes, all other columns kept."""
+def regrid_nearest(
+    cells: DataFrame, grid: GridSpec, lon: str = "lon", lat: str = "lat", nodes: DataFrame | None = None
+) -> DataFrame:
+    """Relabel cells to the nearest target nodes, all other columns kept.
+
+    ``nodes`` (lon, lat) limits the output to those grid nodes; the cells
+    behind them are then picked by one join instead of filling the whole grid.
+    """
     spark = cells.sparkSession
-    for name, lines, axis in ((lon, grid.nx, "lon"), (lat, grid.ny, "lat")):
-        pairs = nearest_axis_map(_axis(cells, name), grid.axis(spark, axis))
-        columns = cells.columns
-        joined = cells.join(_small(pairs, lines), F.col(name) == F.col("source"))
-        cells = joined.select(*[F.col("target").alias(c) if c == name else F.col(c) for c in columns])
-    return cells
+    pairs = {
+        axis: nearest_axis_map(_axis(cells, name), grid.axis(spark, axis)).select(
+            F.col("target").alias(f"_t_{axis}"), F.col("source").alias(f"_s_{axis}")
+        )
+        for name, axis in ((lon, "lon"), (lat, "lat"))
+    }
+    x, y = _small(pairs["lon"], grid.nx), _small(pairs["lat"], grid.ny)
+    if nodes is None:
+        at_lon = cells.join(x, F.col(lon) == F.col("_s_lon"))
+        joined = at_lon.join(y, F.col(lat) == F.col("_s_lat"))
+    else:
+        wanted = nodes.select(F.col("lon").alias("_t_lon"), F.col("lat").alias("_t_lat")).distinct()
+        picks = wanted.join(x, "_t_lon").join(y, "_t_lat")
+        joined = cells.join(picks, (F.col(lon) == F.col("_s_lon")) & (F.col(lat) == F.col("_s_lat")))
+    moved = {lon: "_t_lon", lat: "_t_lat"}
+    return joined.select(*[F.col(moved[c]).alias(c) if c in moved else F.col(c) for c in cells.columns])
 
 
 def regrid_linear(
