@@ -302,14 +302,6 @@ QUERIES = {
     "class_count": class_counts,
 }
 
-_MX = """
-    nx as (select round(-69.6e0 + i / 3e0, 6) as t from generate_series(0, 13) a(i)),
-    ny as (select round(-9.9e0 - j / 3e0, 6) as t from generate_series(0, 14) b(j)),
-    {0}x as (select t, s from (select t, s, row_number() over (partition by t order by round(abs(t - s), 9), s desc) as k
-             from nx cross join (select distinct lon as s from {0})) where k = 1),
-    {0}y as (select t, s from (select t, s, row_number() over (partition by t order by round(abs(t - s), 9), s desc) as k
-             from ny cross join (select distinct lat as s from {0})) where k = 1)
-"""
 _NODES = "nx as (select round(-69.6e0 + i / 3e0, 6) as t from generate_series(0, 13) a(i)), ny as (select round(-9.9e0 - j / 3e0, 6) as t from generate_series(0, 14) b(j))"
 
 

@@ -44,6 +44,31 @@ def monthly_bias_factors(df: DataFrame, station: list[str], observed: str, produ
     return means.withColumn("bias_factor", factor)
 
 
+def with_monthly_bias(
+    df: DataFrame, station: list[str], observed: str, product: str, adjusted: str, min_days: int = 26
+) -> DataFrame:
+    """Add ``bias_factor`` and the product multiplied by it, in place.
+
+    The same factors as ``monthly_bias_factors`` (1 where there is none), as
+    windows within a station: on a series partitioned by station this costs no
+    shuffle and no join.
+    """
+    year_month = Window.partitionBy(*station, F.year("time"), F.month("time"))
+    month = Window.partitionBy(*station, F.month("time"))
+    totals = df.withColumns(
+        {
+            "_p": F.coalesce(F.sum(product).over(year_month), F.lit(0.0)),
+            "_o": F.coalesce(F.sum(observed).over(year_month), F.lit(0.0)),
+            # One row speaks for its month, if the month has enough days.
+            "_once": (F.row_number().over(year_month.orderBy("time")) == 1) & (F.count(observed).over(year_month) >= min_days),
+        }
+    )
+    mean = {c: F.avg(F.when(F.col("_once"), F.col(c))).over(month) for c in ("_p", "_o")}
+    factor = F.when(mean["_p"] == 0, 1.0).otherwise(F.coalesce(F.try_divide(mean["_o"], mean["_p"]), F.lit(1.0)))
+    scaled = totals.withColumn("bias_factor", factor).withColumn(adjusted, F.col(product) * F.col("bias_factor"))
+    return scaled.drop("_p", "_o", "_once")
+
+
 def apply_monthly_bias(df: DataFrame, factors: DataFrame, station: list[str], product: str, adjusted: str) -> DataFrame:
     """Multiply the product by its month's factor (1 where there is none)."""
     lookup = factors.select(*station, "month", "bias_factor")

@@ -3,7 +3,8 @@
 Day-of-year operators pack a station's records per day of year (at most one
 record per year), slide a window over those 365 packed rows and unpack again.
 Everything happens under one hash partitioning by station: no multiplied rows
-and no join back to the series.
+and no join back to the series. ``partitioned=True`` says that the input has
+that partitioning already (``by_station``), so it is not shuffled again.
 """
 
 from __future__ import annotations
@@ -16,11 +17,19 @@ from ..functions.temporal import time_part
 YEAR_DAYS = 365  # day 366 neither enters a window nor receives a value
 
 
-def _packed_by_day(series: DataFrame, station: list[str], *aggregates: Column) -> DataFrame:
+def by_station(series: DataFrame, station: list[str]) -> DataFrame:
+    """One shuffle that all station-wise operators after it reuse.
+
+    Balanced, because a station has at most one row per calendar day.
+    """
+    return series.repartition(*station)
+
+
+def _packed_by_day(series: DataFrame, station: list[str], partitioned: bool, *aggregates: Column) -> DataFrame:
     rows = F.struct(*[c for c in series.columns if c not in station])
+    placed = series if partitioned else by_station(series, station)
     return (
-        series.repartition(*station)
-        .withColumn("_doy", F.dayofyear("time"))
+        placed.withColumn("_doy", F.dayofyear("time"))
         .groupBy(*station, "_doy")
         .agg(F.collect_list(rows).alias("_rows"), *aggregates)
     )
@@ -40,7 +49,7 @@ def _with_circular_halo(packed: DataFrame, window: int) -> DataFrame:
 
 
 def doy_moments(
-    series: DataFrame, value: str, station: list[str], window: int = 7, digits: int | None = 4
+    series: DataFrame, value: str, station: list[str], window: int = 7, digits: int | None = 4, partitioned: bool = False
 ) -> DataFrame:
     """Mean and population std over ±``window`` days of year, on every row.
 
@@ -51,6 +60,7 @@ def doy_moments(
     packed = _packed_by_day(
         series,
         station,
+        partitioned,
         F.count(in_year).alias("_n"),
         F.avg(in_year).alias("_m"),
         (F.var_pop(in_year) * F.count(in_year)).alias("_m2"),
@@ -80,7 +90,7 @@ def doy_moments(
 
 
 def doy_percentile(
-    series: DataFrame, value: str, station: list[str], window: int = 3, digits: int | None = 4
+    series: DataFrame, value: str, station: list[str], window: int = 3, digits: int | None = 4, partitioned: bool = False
 ) -> DataFrame:
     """Percentile rank of each value within ±``window`` days of year.
 
@@ -88,7 +98,7 @@ def doy_percentile(
     values, in percent. Adds ``perc_<value>``.
     """
     in_year = F.when(F.col("_doy") <= YEAR_DAYS, F.col(value))
-    packed = _packed_by_day(series, station, F.collect_list(in_year).alias("_values"))
+    packed = _packed_by_day(series, station, partitioned, F.collect_list(in_year).alias("_values"))
     near = Window.partitionBy(*station).orderBy("_at.pos").rangeBetween(-window, window)
     pool = F.sort_array(F.flatten(F.collect_list("_values").over(near)))
     pooled = _with_circular_halo(packed, window).withColumn("_pool", pool).where("_at.own")

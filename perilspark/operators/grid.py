@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import snap_bounds
 from .columns import include_exclude
 from .forecast import first_per_key
+from .joins import broadcast_if_small
 from .ordered import ordered_row_number
 
 # An axis map has at most two rows per grid line. Up to this many rows it is
@@ -75,8 +76,9 @@ def match_to_grid(df: DataFrame, grid: GridSpec, lon: str, lat: str, out_lon: st
 
 
 def select_points(cells: DataFrame, points: DataFrame, keys: tuple[str, str] = ("lon", "lat")) -> DataFrame:
-    """Cells at the listed points."""
-    return cells.join(points.select(*keys).distinct(), list(keys), "left_semi")
+    """Cells at the listed points: a filter by broadcast when they are few."""
+    wanted = broadcast_if_small(points.select(*keys).distinct())
+    return cells.join(wanted, list(keys), "left_semi")
 
 
 def number_locations(df: DataFrame, lon: str = "lon", lat: str = "lat", name: str = "location_id") -> DataFrame:
@@ -190,7 +192,7 @@ def regrid_nearest(
         joined = at_lon.join(y, F.col(lat) == F.col("_s_lat"))
     else:
         wanted = nodes.select(F.col("lon").alias("_t_lon"), F.col("lat").alias("_t_lat")).distinct()
-        picks = wanted.join(x, "_t_lon").join(y, "_t_lat")
+        picks = broadcast_if_small(wanted.join(x, "_t_lon").join(y, "_t_lat"))
         joined = cells.join(picks, (F.col(lon) == F.col("_s_lon")) & (F.col(lat) == F.col("_s_lat")))
     moved = {lon: "_t_lon", lat: "_t_lat"}
     return joined.select(*[F.col(moved[c]).alias(c) if c in moved else F.col(c) for c in cells.columns])

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import broadcast_if_small
+
 EDGES = T.ArrayType(T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")]))
 
 
@@ -69,10 +71,10 @@ def polygon_join(
 ) -> DataFrame:
     """Attach the attributes of every polygon that contains the point.
 
-    Both sides meet on square cells, an equi-join: Spark broadcasts the
-    polygons when they are small, otherwise it shuffles by cell and AQE splits
-    crowded cells. A polygon carries into a cell only the edges that the ray
-    of a point in that cell can meet.
+    Both sides meet on square cells, an equi-join: the polygons are broadcast
+    if their counted edges are few, otherwise both sides shuffle by cell and
+    AQE splits crowded cells. A polygon carries into a cell only the edges
+    that the ray of a point in that cell can meet.
     """
     span = lambda a, b: F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell))
     slack = 1e-9
@@ -89,6 +91,7 @@ def polygon_join(
         *[F.col(b).alias(f"_{b}") for b in ("minx", "miny", "maxx", "maxy")],
         *[F.col(a).alias(f"_a_{a}") for a in attributes],
     )
+    tiles = broadcast_if_small(tiles, F.size("_edges"))
     x, y = F.col(lon), F.col(lat)
     placed = points.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
     match = (

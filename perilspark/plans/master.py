@@ -13,6 +13,7 @@ from ..operators.calendar import repeat_over_calendar, restrict_to_calendar
 from ..operators.columns import drop_missing
 from ..operators.forecast import mean_over_leads
 from ..operators.grid import GridSpec, match_to_grid, regrid_nearest
+from ..operators.joins import broadcast_if_small
 
 KEYS = ["lon", "lat", "time"]
 
@@ -53,7 +54,7 @@ def at_stations(grid_features: DataFrame, stations: DataFrame, grid: GridSpec) -
     """Features of each station's nearest node, at the station's coordinates."""
     places = match_to_grid(stations.select("lon", "lat").distinct(), grid, "lon", "lat", "_lon", "_lat")
     nodes = grid_features.withColumnsRenamed({"lon": "_lon", "lat": "_lat"})
-    return nodes.join(places, ["_lon", "_lat"]).drop("_lon", "_lat")
+    return nodes.join(broadcast_if_small(places), ["_lon", "_lat"]).drop("_lon", "_lat")
 
 
 def training_table(
