@@ -25,12 +25,13 @@ from perilspark.operators.metrics import (
 )
 from perilspark.operators.ranking import best_trials, quantile_class, rank_trials
 from perilspark.operators.split import assign_subsets, backtest_flag, holdout_groups, shuffle_folds, slice_shares
-from perilspark.plans.master import align_features, at_stations, inference_table, training_table
+from perilspark.plans.master import FeatureSet, align_features, at_stations, inference_table, training_table
 
 from . import lat_sql, lon_sql, point_lat, point_lon, rounded, table
 
 SEASON = Calendar("1998-01-01", "1998-03-31")
 GRID = GridSpec.from_bounds(-69.6, -14.7, -65.0, -9.9, 3)
+SOURCE_GRID = GridSpec(-69.6, -10, 10, 10, 2)
 STEPS = [2, 3, 4]
 
 
@@ -50,7 +51,8 @@ def feature_sets(spark, folder):
     orders = table(spark, folder, "orders").select(*_cell("o_custkey"), F.to_date("o_orderdate").alias("time"), "o_totalprice")
     rain = orders.groupBy("lon", "lat", "time").agg(F.round(F.sum("o_totalprice"), 2).alias("tp"))
     static = table(spark, folder, "supplier").select(*_cell("s_suppkey"), "s_acctbal")
-    return [leads, rain, static.groupBy("lon", "lat").agg(F.max("s_acctbal").alias("altitude"))]
+    static = static.groupBy("lon", "lat").agg(F.max("s_acctbal").alias("altitude"))
+    return [FeatureSet(leads, SOURCE_GRID), FeatureSet(rain, SOURCE_GRID), static]
 
 
 def stations(spark, folder):
@@ -305,12 +307,22 @@ QUERIES = {
 _NODES = "nx as (select round(-69.6e0 + i / 3e0, 6) as t from generate_series(0, 13) a(i)), ny as (select round(-9.9e0 - j / 3e0, 6) as t from generate_series(0, 14) b(j))"
 
 
-def _placed(name: str, columns: str) -> str:
+_LINES = {
+    "lon": "select round(-69.6e0 + i / 2e0, 6) as s from generate_series(0, 9) a(i)",
+    "lat": "select round(-10e0 - i / 2e0, 6) as s from generate_series(0, 9) a(i)",
+}
+
+
+def _placed(name: str, columns: str, known_grid: bool = True) -> str:
+    """Nearest regrid of a table, from its grid lines or those it holds."""
+
+    def pairs(axis: str, targets: str) -> str:
+        lines = _LINES[axis] if known_grid else f"select distinct {axis} as s from {name}"
+        return f"""(select t, s from (select t, s, row_number() over (partition by t order by round(abs(t - s), 9), s desc) as k
+             from {targets} cross join ({lines})) where k = 1)"""
+
     return f"""
-        {name}x as (select t, s from (select t, s, row_number() over (partition by t order by round(abs(t - s), 9), s desc) as k
-             from nx cross join (select distinct lon as s from {name})) where k = 1),
-        {name}y as (select t, s from (select t, s, row_number() over (partition by t order by round(abs(t - s), 9), s desc) as k
-             from ny cross join (select distinct lat as s from {name})) where k = 1),
+        {name}x as {pairs('lon', 'nx')}, {name}y as {pairs('lat', 'ny')},
         {name}g as (select {name}x.t as lon, {name}y.t as lat, {columns} from {name}
              join {name}x on {name}x.s = {name}.lon join {name}y on {name}y.s = {name}.lat)"""
 
@@ -330,7 +342,7 @@ def _features_sql(start: str, end: str, static: bool) -> str:
             0 as altitude from leadsg a full join raing b on a.lon = b.lon and a.lat = b.lat and a.time = b.time)"""
     return ctes + f""",
         static as (select lon, lat, max(s_acctbal) as altitude from (select {_cell_sql('s_suppkey')}, s_acctbal from supplier) group by 1, 2),
-        {_placed('static', 'altitude')},
+        {_placed('static', 'altitude', False)},
         base as (select lon, lat, cast(unnest(generate_series(date '{start}', date '{end}', interval 1 day)) as date) as time, altitude from staticg),
         ab as (select coalesce(a.lon, b.lon) as lon, coalesce(a.lat, b.lat) as lat, coalesce(a.time, b.time) as time, t2m, tp
                from leadsg a full join raing b on a.lon = b.lon and a.lat = b.lat and a.time = b.time),

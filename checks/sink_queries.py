@@ -165,7 +165,8 @@ def stream_score(spark, folder):
 
     stream = forecast_stream(spark, folder, raw, "lineitem.parquet")
     refresh_scores(stream, score, out, checkpoint, ["cell", "step", "time"])
-    return spark.read.parquet(out).select("cell", F.col("step").cast("bigint").alias("step"), "time", "price", "pred_target", "alert_level")
+    schema = "cell string, step int, time date, price double, pred_target double, alert_level string, yearmon string"
+    return spark.read.schema(schema).parquet(out).select("cell", F.col("step").cast("bigint").alias("step"), "time", "price", "pred_target", "alert_level")
 
 
 def stream_dedupe(spark, folder):

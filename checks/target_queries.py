@@ -74,8 +74,8 @@ def rainfall_target(spark, folder):
 def source_merge(spark, folder):
     """Stations with records and product, on records only (no gap filling)."""
     series, areas = station_series(nation_records(spark, folder, "obs"), PERIOD, target_area(spark, folder), gap_fill=False)
-    merged = attach_product(series, product_cells(spark, folder, "cell"), PRODUCT_GRID, "cell", "product")
-    return merged.join(areas, "station_id").select("station_id", "n_nationkey", "time", "lon", "lat", "obs", "product")
+    merged = attach_product(series, areas, product_cells(spark, folder, "cell"), PRODUCT_GRID, "cell", "product", PERIOD)
+    return merged.join(areas.select("station_id", "n_nationkey"), "station_id").select("station_id", "n_nationkey", "time", "lon", "lat", "obs", "product")
 
 
 def monthly_bias_in_place(spark, folder):

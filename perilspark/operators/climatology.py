@@ -90,30 +90,38 @@ def doy_moments(
 
 
 def doy_percentile(
-    series: DataFrame, value: str, station: list[str], window: int = 3, digits: int | None = 4, partitioned: bool = False
+    series: DataFrame,
+    values: str | list[str],
+    station: list[str],
+    window: int = 3,
+    digits: int | None = 4,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Percentile rank of each value within ±``window`` days of year.
 
     Ties share their average rank; the rank is a share of the non-missing
-    values, in percent. Adds ``perc_<value>``.
+    values, in percent. Adds ``perc_<value>`` for every value, in one pass.
     """
-    in_year = F.when(F.col("_doy") <= YEAR_DAYS, F.col(value))
-    packed = _packed_by_day(series, station, partitioned, F.collect_list(in_year).alias("_values"))
+    values = [values] if isinstance(values, str) else values
+    kept = [F.collect_list(F.when(F.col("_doy") <= YEAR_DAYS, F.col(v))).alias(f"_v{i}") for i, v in enumerate(values)]
+    packed = _packed_by_day(series, station, partitioned, *kept)
     near = Window.partitionBy(*station).orderBy("_at.pos").rangeBetween(-window, window)
-    pool = F.sort_array(F.flatten(F.collect_list("_values").over(near)))
-    pooled = _with_circular_halo(packed, window).withColumn("_pool", pool).where("_at.own")
-    pooled = pooled.withColumn("_down", F.reverse("_pool")).withColumn("_row", F.explode("_rows"))
-
-    v = F.col(f"_row.{value}")
-    first = F.array_position("_pool", v)
-    last = F.size("_pool") + 1 - F.array_position("_down", v)
-    share = (first + last) / 2 / F.size("_pool") * 100
-    if digits is not None:
-        share = F.round(share, digits)
-    known = v.isNotNull() & (F.col("_doy") <= YEAR_DAYS)
-    return pooled.select(
+    pools = {f"_up{i}": F.sort_array(F.flatten(F.collect_list(f"_v{i}").over(near))) for i in range(len(values))}
+    pooled = _with_circular_halo(packed, window).withColumns(pools).where("_at.own")
+    pooled = pooled.withColumns({f"_down{i}": F.reverse(f"_up{i}") for i in range(len(values))})
+
+    def share(i: int, v: Column) -> Column:
+        # First and last place of the value in the sorted pool.
+        first = F.array_position(f"_up{i}", v)
+        last = F.size(f"_up{i}") + 1 - F.array_position(f"_down{i}", v)
+        percent = (first + last) / 2 / F.size(f"_up{i}") * 100
+        known = v.isNotNull() & (F.col("_doy") <= YEAR_DAYS)
+        return F.when(known, percent if digits is None else F.round(percent, digits))
+
+    rows = pooled.withColumn("_row", F.explode("_rows"))
+    return rows.select(
         *[c if c in station else F.col(f"_row.{c}").alias(c) for c in series.columns],
-        F.when(known, share).alias(f"perc_{value}"),
+        *[share(i, F.col(f"_row.{v}")).alias(f"perc_{v}") for i, v in enumerate(values)],
     )
 
 

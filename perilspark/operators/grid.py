@@ -163,8 +163,12 @@ def linear_axis_map(source: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.select("target", "p.source", "p.weight", "parts")
 
 
-def _axis(df: DataFrame, name: str) -> DataFrame:
-    return df.select(F.col(name).cast("double").alias("source")).distinct()
+def _axis(cells: DataFrame, name: str, axis: str, source: GridSpec | DataFrame | None) -> DataFrame:
+    """Source grid lines: from a grid definition, or distinct in a table."""
+    if isinstance(source, GridSpec):
+        return source.axis(cells.sparkSession, axis).select(F.col("target").alias("source"))
+    table = cells if source is None else source
+    return table.select(F.col(name).cast("double").alias("source")).distinct()
 
 
 def _small(axis_map: DataFrame, lines: int) -> DataFrame:
@@ -172,16 +176,23 @@ def _small(axis_map: DataFrame, lines: int) -> DataFrame:
 
 
 def regrid_nearest(
-    cells: DataFrame, grid: GridSpec, lon: str = "lon", lat: str = "lat", nodes: DataFrame | None = None
+    cells: DataFrame,
+    grid: GridSpec,
+    lon: str = "lon",
+    lat: str = "lat",
+    nodes: DataFrame | None = None,
+    source: GridSpec | DataFrame | None = None,
 ) -> DataFrame:
     """Relabel cells to the nearest target nodes, all other columns kept.
 
+    ``source`` names the grid of the cells; without it their distinct
+    coordinates are read (from the given table, or from the cells).
     ``nodes`` (lon, lat) limits the output to those grid nodes; the cells
     behind them are then picked by one join instead of filling the whole grid.
     """
     spark = cells.sparkSession
     pairs = {
-        axis: nearest_axis_map(_axis(cells, name), grid.axis(spark, axis)).select(
+        axis: nearest_axis_map(_axis(cells, name, axis, source), grid.axis(spark, axis)).select(
             F.col("target").alias(f"_t_{axis}"), F.col("source").alias(f"_s_{axis}")
         )
         for name, axis in ((lon, "lon"), (lat, "lat"))
@@ -199,7 +210,13 @@ def regrid_nearest(
 
 
 def regrid_linear(
-    cells: DataFrame, grid: GridSpec, values: list[str], keys: list[str] = (), lon: str = "lon", lat: str = "lat"
+    cells: DataFrame,
+    grid: GridSpec,
+    values: list[str],
+    keys: list[str] = (),
+    lon: str = "lon",
+    lat: str = "lat",
+    source: GridSpec | DataFrame | None = None,
 ) -> DataFrame:
     """Bilinear values on the target nodes; a missing corner gives null.
 
@@ -208,7 +225,7 @@ def regrid_linear(
     spark = cells.sparkSession
     out = cells.select(lon, lat, *keys, *values)
     for name, lines, axis in ((lon, grid.nx, "lon"), (lat, grid.ny, "lat")):
-        pairs = linear_axis_map(_axis(cells, name), grid.axis(spark, axis))
+        pairs = linear_axis_map(_axis(cells, name, axis, source), grid.axis(spark, axis))
         pairs = pairs.select(
             F.col("source").alias(f"_s_{axis}"), F.col("target").alias(f"_t_{axis}"),
             F.col("weight").alias(f"_w_{axis}"), F.col("parts").alias(f"_n_{axis}"),

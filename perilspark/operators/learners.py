@@ -37,13 +37,15 @@ def cluster_stations(
     """Standardise, reduce and cluster stations; adds comp_i and ``cluster``.
 
     The best of ``restarts`` k-means runs counts. Cluster numbers carry no
-    order.
+    order. A missing value takes the mean over stations.
     """
     inputs = [c for c in profile.columns if c not in station]
-    assembler = VectorAssembler(inputCols=inputs, outputCol="_raw", handleInvalid="error")
+    filled = [f"_f_{c}" for c in inputs]
+    imputer = Imputer(inputCols=inputs, outputCols=filled, strategy="mean")
+    assembler = VectorAssembler(inputCols=filled, outputCol="_raw", handleInvalid="error")
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled")
     reduce = PCA(k=min(components, len(inputs)), inputCol="_scaled", outputCol="_pca")
-    ready = Pipeline(stages=[assembler, scaler, reduce]).fit(profile).transform(profile)
+    ready = Pipeline(stages=[imputer, assembler, scaler, reduce]).fit(profile).transform(profile)
     # One row per station, read once per restart and iteration.
     ready = materialise(ready.select(*station, "_pca"), "station-components")
     runs = [KMeans(k=k, seed=seed + i, featuresCol="_pca", predictionCol="cluster").fit(ready) for i in range(restarts)]

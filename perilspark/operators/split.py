@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .columns import drop_missing
+from .joins import broadcast_if_small
 from .ordered import ordered_row_number, running_sums
 
 TRAIN, BACKTEST, OUT = "train", "backtest", "out_of_sample"
@@ -73,8 +75,8 @@ def assign_subsets(
     """
     df = drop_missing(df, list(required))
     if group:
-        held = holdout_groups(df, group, fraction, stratify, seed).withColumn("_out", F.lit(True))
-        df = df.join(held, group, "left").withColumn("_out", F.coalesce("_out", F.lit(False)))
+        held = materialise(holdout_groups(df, group, fraction, stratify, seed).withColumn("_out", F.lit(True)), "held-out")
+        df = df.join(broadcast_if_small(held), group, "left").withColumn("_out", F.coalesce("_out", F.lit(False)))
     else:
         df = df.withColumn("_out", F.lit(False))
     late = backtest_flag(df.where(~F.col("_out")), split, n_months)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -18,19 +19,34 @@ from ..operators.joins import broadcast_if_small
 KEYS = ["lon", "lat", "time"]
 
 
-def _on_grid(features: DataFrame, grid: GridSpec, calendar: Calendar, steps: list[int], nodes: DataFrame | None) -> DataFrame:
+@dataclass(frozen=True)
+class FeatureSet:
+    """Features in long form and, if known, the grid they are given on.
+
+    Columns lon, lat, optionally time and step, and the feature values. A
+    named ``grid`` saves reading the distinct coordinates of the table.
+    """
+
+    table: DataFrame
+    grid: GridSpec | None = None
+
+
+def _on_grid(given: FeatureSet, grid: GridSpec, calendar: Calendar, steps: list[int], nodes: DataFrame | None) -> DataFrame:
+    features = given.table
+    # Grid lines come from the stored table, not from what is derived below.
+    source = given.grid or features
     values = [c for c in features.columns if c not in (*KEYS, "step")]
     keys = [k for k in KEYS if k in features.columns]
     if "time" in features.columns:
         features = restrict_to_calendar(features, calendar)
     if "step" in features.columns:
         features = mean_over_leads(features, values, steps, keys)
-    placed = regrid_nearest(features, grid, nodes=nodes)
+    placed = regrid_nearest(features, grid, nodes=nodes, source=source)
     return placed if "time" in features.columns else repeat_over_calendar(placed, calendar)
 
 
 def align_features(
-    feature_sets: Sequence[DataFrame],
+    feature_sets: Sequence[FeatureSet | DataFrame],
     grid: GridSpec,
     calendar: Calendar,
     steps: list[int],
@@ -43,7 +59,8 @@ def align_features(
     growing result at every set. A (lon, lat, time) is unique within a set.
     ``nodes`` limits the work to some grid nodes from the first step on.
     """
-    placed = [_on_grid(f, grid, calendar, steps, nodes) for f in feature_sets]
+    sets = [f if isinstance(f, FeatureSet) else FeatureSet(f) for f in feature_sets]
+    placed = [_on_grid(f, grid, calendar, steps, nodes) for f in sets]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
     values = [c for c in stacked.columns if c not in KEYS]
     merged = stacked.groupBy(*KEYS).agg(*[F.first(v, ignorenulls=True).alias(v) for v in values])
@@ -58,7 +75,7 @@ def at_stations(grid_features: DataFrame, stations: DataFrame, grid: GridSpec) -
 
 
 def training_table(
-    feature_sets: Sequence[DataFrame],
+    feature_sets: Sequence[FeatureSet | DataFrame],
     target_table: DataFrame,
     target: str,
     grid: GridSpec,
@@ -72,6 +89,6 @@ def training_table(
     return features.join(observed, KEYS)
 
 
-def inference_table(feature_sets: Sequence[DataFrame], grid: GridSpec, calendar: Calendar, steps: list[int]) -> DataFrame:
+def inference_table(feature_sets: Sequence[FeatureSet | DataFrame], grid: GridSpec, calendar: Calendar, steps: list[int]) -> DataFrame:
     """Features for every grid node."""
     return align_features(feature_sets, grid, calendar, steps)

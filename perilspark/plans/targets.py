@@ -13,7 +13,9 @@ from ..operators.bias import blend, mean_variance_scaling, with_monthly_bias
 from ..operators.climatology import by_station, doy_moments, doy_percentile
 from ..operators.columns import in_box, include_exclude
 from ..operators.grid import GridSpec, match_to_grid, select_points
+from ..operators.joins import broadcast_if_small
 from ..operators.spatial import polygon_join
+from ..session import materialise
 from ..operators.series import forward_mean, forward_run, forward_sum
 
 
@@ -50,11 +52,12 @@ def _percentile_target(series, value, station, percentiles, days, suffix, name,
     out = series.withColumns(
         {f"{value}_bin_{suffix}": binary, **{f"{name}_next{d}d_{suffix}": ahead(value, station, d) for d in days}}
     )
-    targets = {}
-    for d in days:
-        out = doy_percentile(out, f"{name}_next{d}d_{suffix}", station, window, partitioned=True)
-        for p in percentiles:
-            targets[f"target_P{threshold_name(p)}_{d}d_{suffix}"] = flag(hit(F.col(f"perc_{name}_next{d}d_{suffix}"), p))
+    out = doy_percentile(out, [f"{name}_next{d}d_{suffix}" for d in days], station, window, partitioned=True)
+    targets = {
+        f"target_P{threshold_name(p)}_{d}d_{suffix}": flag(hit(F.col(f"perc_{name}_next{d}d_{suffix}"), p))
+        for d in days
+        for p in percentiles
+    }
     return out.withColumns(targets)
 
 
@@ -141,16 +144,18 @@ def station_series(
 ) -> tuple[DataFrame, DataFrame]:
     """Station records inside bounds, period and polygons, on the calendar.
 
-    Returns (series, areas of the stations). Only stations inside a polygon
-    enter the series, which is known from the short station list before any
-    record is joined. ``gap_fill=False`` keeps records only, so that "next
-    days" means next records.
+    Returns (series, located stations with their areas). Only stations inside
+    a polygon enter the series, which is known from the short station list
+    before any record is joined. ``gap_fill=False`` keeps records only, so
+    that "next days" means next records.
     """
     inside = records.where(in_box("lon", "lat", **where.bounds, inclusive=inclusive) & calendar.between("time"))
     stations = inside.groupBy(station).agg(F.max("lon").alias("lon"), F.max("lat").alias("lat"))
     if clusters is not None:
         stations = stations.join(clusters.select(station, "cluster"), station, "left")
-    located = polygon_join(stations, where.areas, where.area_columns)
+    # A run uses the station list four times; written once, the records are
+    # scanned for it only once.
+    located = materialise(polygon_join(stations, where.areas, where.area_columns), "stations")
     stations = located.drop(*where.area_columns).distinct()
     values = inside.drop("lon", "lat")
     values = previous_day(values) if shift_day else values
@@ -158,18 +163,20 @@ def station_series(
         series = calendar.expand(stations).join(values, [station, "time"], "left")
     else:
         series = values.join(stations, station)
-    return series, located.select(station, *where.area_columns)
+    return series, located
 
 
-def attach_product(series: DataFrame, product: DataFrame, grid: GridSpec, value: str, name: str) -> DataFrame:
+def attach_product(
+    series: DataFrame, stations: DataFrame, product: DataFrame, grid: GridSpec, value: str, name: str, calendar: Calendar
+) -> DataFrame:
     """Left join of the product value at each station's nearest node and day.
 
-    The product is first cut to the stations' nodes, so a large product is
-    scanned and filtered, not shuffled.
+    The product is first cut to the period and the stations' nodes, so a large
+    product is scanned and filtered, not shuffled.
     """
     nodes = match_to_grid(series, grid, "lon", "lat", "_plon", "_plat")
-    wanted = match_to_grid(series.select("lon", "lat").distinct(), grid, "lon", "lat").select("lon", "lat")
-    cut = select_points(product.select("lon", "lat", "time", value), wanted)
+    wanted = match_to_grid(stations, grid, "lon", "lat").select("lon", "lat")
+    cut = select_points(product.where(calendar.between("time")).select("lon", "lat", "time", value), wanted)
     cut = cut.select(F.col("lon").alias("_plon"), F.col("lat").alias("_plat"), "time", F.col(value).alias(name))
     return nodes.join(cut, ["_plon", "_plat", "time"], "left").drop("_plon", "_plat")
 
@@ -178,7 +185,7 @@ def _located_target(target: DataFrame, station_areas: DataFrame, where: TargetAr
     """Station coordinates under their own name, grid node as lon/lat, areas."""
     named = target.withColumnsRenamed({"lon": "lon_station", "lat": "lat_station"})
     placed = match_to_grid(named, where.population_grid, "lon_station", "lat_station")
-    return placed.join(station_areas, station)
+    return placed.join(broadcast_if_small(station_areas.select(station, *where.area_columns)), station)
 
 
 def cold_spell_target(
@@ -199,7 +206,7 @@ def cold_spell_target(
     params = params or ColdParams()
     series, areas = station_series(records, calendar, where, True, clusters, False, gap_fill, station)
     series = series.withColumnRenamed("tmin", "tmin_lfa")
-    both = by_station(attach_product(series, product, where.product_grid, "tmin", "tmin_chirts"), [station])
+    both = by_station(attach_product(series, areas, product, where.product_grid, "tmin", "tmin_chirts", calendar), [station])
     blended = mean_variance_scaling(both, [station], "tmin_lfa", "tmin_chirts", "tmin_chirts_adj", "tmin")
     target = cold_day_target(
         blended, "tmin", [station], params.sd_thresholds, params.run_days, "final", partitioned=True
@@ -228,7 +235,7 @@ def extreme_rain_target(
     chosen = include_exclude(records, include, exclude)
     series, areas = station_series(chosen, calendar, where, False, clusters, True, gap_fill, station)
     series = series.withColumnRenamed("prcp", "prcp_lfa")
-    both = by_station(attach_product(series, product, where.product_grid, "prcp", "prcp_chirps"), [station])
+    both = by_station(attach_product(series, areas, product, where.product_grid, "prcp", "prcp_chirps", calendar), [station])
     scaled = with_monthly_bias(both, [station], "prcp_lfa", "prcp_chirps", "prcp_chirps_adj")
     blended = scaled.withColumn("prcp", blend("prcp_lfa", "prcp_chirps_adj"))
     target = rain_percentile_target(

@@ -21,6 +21,11 @@ def build_session(app: str = "perilspark", master: str | None = None, shuffle_pa
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Stream state beyond executor memory spills to local disk.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
