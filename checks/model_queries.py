@@ -25,7 +25,7 @@ from perilspark.operators.metrics import (
 )
 from perilspark.operators.ranking import best_trials, quantile_class, rank_trials
 from perilspark.operators.split import assign_subsets, backtest_flag, holdout_groups, shuffle_folds, slice_shares
-from perilspark.plans.master import FeatureSet, align_features, at_stations, inference_table, training_table
+from perilspark.plans.master import FeatureSet, align_features, at_stations, inference_table, station_nodes, training_table
 
 from . import lat_sql, lon_sql, point_lat, point_lon, rounded, table
 
@@ -79,7 +79,7 @@ def master_predict(spark, folder):
 
 def station_extract(spark, folder):
     grid_features = align_features(feature_sets(spark, folder), GRID, SEASON, STEPS)
-    return _shown(at_stations(grid_features, stations(spark, folder), GRID))
+    return _shown(at_stations(grid_features, station_nodes(stations(spark, folder), GRID)))
 
 
 def master_train(spark, folder):

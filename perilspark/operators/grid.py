@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import snap_bounds
 from .columns import include_exclude
 from .forecast import first_per_key
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, is_small
 from .ordered import ordered_row_number
 
 # An axis map has at most two rows per grid line. Up to this many rows it is
@@ -203,7 +203,8 @@ def regrid_nearest(
         joined = at_lon.join(y, F.col(lat) == F.col("_s_lat"))
     else:
         wanted = nodes.select(F.col("lon").alias("_t_lon"), F.col("lat").alias("_t_lat")).distinct()
-        picks = broadcast_if_small(wanted.join(x, "_t_lon").join(y, "_t_lat"))
+        picks = wanted.join(x, "_t_lon").join(y, "_t_lat")  # one row per node
+        picks = F.broadcast(picks) if is_small(wanted) else picks
         joined = cells.join(picks, (F.col(lon) == F.col("_s_lon")) & (F.col(lat) == F.col("_s_lat")))
     moved = {lon: "_t_lon", lat: "_t_lat"}
     return joined.select(*[F.col(moved[c]).alias(c) if c in moved else F.col(c) for c in cells.columns])

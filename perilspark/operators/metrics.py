@@ -26,7 +26,7 @@ def score_curve(df: DataFrame, label: str, score: str, keys: list[str] = (), buc
     """
     known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     levels = known.groupBy(*keys, score).agg(_sum_if(F.col(label) == 1).alias("pos"), _sum_if(F.col(label) != 1).alias("neg"))
-    return running_sums(levels, list(keys), score, ["pos", "neg"], buckets=buckets)
+    return running_sums(levels, list(keys), score, ["pos", "neg"], buckets=buckets, bounds_from=known)
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -34,10 +34,13 @@ def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
-def curve_metrics(curve: DataFrame, keys: list[str] = (), target_recall: float = 0.8) -> DataFrame:
+def curve_metrics(
+    curve: DataFrame, keys: list[str] = (), target_recall: float = 0.8, score: str | None = None, threshold: float = 0.5
+) -> DataFrame:
     """AUC, Gini, KS and best precision at a recall, from one pass over levels.
 
-    A group with a single class has no AUC and no KS (null).
+    With ``score`` also F1 and recall of the rule "score > threshold": a sum
+    over the same levels. A group with a single class has no AUC and KS (null).
     """
     pos, neg, total_pos, total_neg = (F.col(c) for c in ("pos", "neg", "total_pos", "total_neg"))
     below = F.col("cum_neg") - neg
@@ -46,11 +49,16 @@ def curve_metrics(curve: DataFrame, keys: list[str] = (), target_recall: float =
     hits, false_hits = total_pos - F.col("cum_pos") + pos, total_neg - F.col("cum_neg") + neg
     precision = F.try_divide(hits, hits + false_hits)
     enough = F.try_divide(hits, total_pos) >= target_recall
-    out = curve.groupBy(*keys).agg(
-        F.try_divide(wins, F.max(total_pos).cast("double") * F.max(total_neg)).alias("auc"),
-        F.max(gap).alias("ks"),
-        F.coalesce(F.max(F.when(enough, precision)), F.lit(0.0)).alias("precision_at_recall"),
-    )
+    wanted = {
+        "auc": F.try_divide(wins, F.max(total_pos).cast("double") * F.max(total_neg)),
+        "ks": F.max(gap),
+        "precision_at_recall": F.coalesce(F.max(F.when(enough, precision)), F.lit(0.0)),
+    }
+    if score is not None:
+        chosen = F.col(score) > threshold
+        tp, fp = (F.sum(F.when(chosen, c).otherwise(0)) for c in (pos, neg))
+        wanted |= {"f1": ratio(2 * tp, F.sum(pos) + tp + fp), "recall": ratio(tp, F.sum(pos))}
+    out = curve.groupBy(*keys).agg(*[c.alias(name) for name, c in wanted.items()])
     return out.withColumn("gini", 2 * F.col("auc") - 1)
 
 
@@ -116,21 +124,10 @@ def binary_metrics(
     df: DataFrame, label: str, score: str, keys: list[str] = (), threshold: float = 0.5, target_recall: float = 0.25
 ) -> DataFrame:
     """AUC, GINI, KS, F1, REC and PR per group, as shares."""
-    keys = list(keys)
     curve = score_curve(df, label, score, keys)
-    ranked = curve_metrics(curve, keys, target_recall)
-    # The 0.5 rule is a sum over the same levels: no second pass over rows.
-    chosen = F.col(score) > threshold
-    tp, fp = F.sum(F.when(chosen, F.col("pos")).otherwise(0)), F.sum(F.when(chosen, F.col("neg")).otherwise(0))
-    at = curve.groupBy(*keys).agg(tp.alias("tp"), fp.alias("fp"), F.sum("pos").alias("p"))
-    both = _joined(ranked, at, keys)
-    return both.select(
-        *keys,
-        F.col("auc").alias("AUC"), F.col("gini").alias("GINI"), F.col("ks").alias("KS"),
-        ratio(2 * F.col("tp"), F.col("p") + F.col("tp") + F.col("fp")).alias("F1"),
-        ratio(F.col("tp"), F.col("p")).alias("REC"),
-        F.col("precision_at_recall").alias("PR"),
-    )
+    names = {"auc": "AUC", "gini": "GINI", "ks": "KS", "f1": "F1", "recall": "REC", "precision_at_recall": "PR"}
+    found = curve_metrics(curve, keys, target_recall, score, threshold)
+    return found.select(*keys, *[F.col(c).alias(n) for c, n in names.items()])
 
 
 def metric_rows(wide: DataFrame, keys: list[str], metrics: Sequence[str], value: str = "value") -> DataFrame:
@@ -178,8 +175,9 @@ def metric_by_group(df: DataFrame, label: str, score: str, keys: list[str], metr
 def exact_median(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
     """Median per group from level counts (mean of the two middle values)."""
     keys = list(keys)
-    levels = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    placed = running_sums(levels, keys, value, ["n"])
+    known = df.where(F.col(value).isNotNull())
+    levels = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    placed = running_sums(levels, keys, value, ["n"], bounds_from=known)
     total, upto = F.col("total_n"), F.col("cum_n")
     low = F.min(F.when(upto * 2 >= total, F.col(value)))
     high = F.min(F.when(upto * 2 >= total + F.when(total % 2 == 0, 2).otherwise(1), F.col(value)))

@@ -19,19 +19,30 @@ BUCKET = "_bucket"
 _ORDER = "_order"
 
 
-def quantile_bounds(df: DataFrame, order: str, buckets: int | None = None) -> list[float]:
-    """Inner bucket bounds of a numeric column: a fixed-size driver list."""
+def quantile_bounds(df: DataFrame, value: Column, buckets: int | None = None) -> list[float]:
+    """Inner bucket bounds of a numeric column: a fixed-size driver list.
+
+    One pass that merges per-task sketches; it moves no rows. There are more
+    buckets than shuffle partitions, so that their hashes spread evenly.
+    """
     if buckets is None:
-        buckets = max(2, min(1000, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+        buckets = max(8, min(4000, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     shares = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(order, shares, 10 * buckets)).first()[0]
+    found = df.agg(F.percentile_approx(value.cast("double"), shares, 10 * buckets)).first()[0]
     return sorted({float(v) for v in found or []})
 
 
-def with_quantile_bucket(df: DataFrame, value: Column, buckets: int | None = None) -> DataFrame:
-    """Add ``_bucket``: monotone in ``value``, about equal row counts."""
+def with_quantile_bucket(
+    df: DataFrame, value: Column, buckets: int | None = None, bounds_from: DataFrame | None = None
+) -> DataFrame:
+    """Add ``_bucket``: monotone in ``value``, about equal row counts.
+
+    ``bounds_from`` is a cheaper table with the same values, the rows that
+    ``df`` aggregates: a bucket then covers 1/n of those rows, hence no more
+    than that many of their distinct levels, however the values tie.
+    """
+    bounds = quantile_bounds(df if bounds_from is None else bounds_from, value, buckets)
     tagged = df.withColumn(_ORDER, value.cast("double"))
-    bounds = quantile_bounds(tagged, _ORDER, buckets)
     if not bounds:
         return tagged.withColumn(BUCKET, F.lit(0)).drop(_ORDER)
     cut = Bucketizer(
@@ -53,13 +64,14 @@ def running_sums(
     descending: bool = False,
     value: Column | None = None,
     buckets: int | None = None,
+    bounds_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``cum_<s>`` (up to and including the row) and ``total_<s>`` per key.
 
     ``levels`` holds one row per (keys, order). ``value`` is the numeric form
     of ``order`` used for bucketing, where ``order`` itself is not numeric.
     """
-    tagged = with_quantile_bucket(levels, F.col(order) if value is None else value, buckets)
+    tagged = with_quantile_bucket(levels, F.col(order) if value is None else value, buckets, bounds_from)
     direction = F.desc if descending else F.asc
     inside = Window.partitionBy(*keys, BUCKET).orderBy(direction(order))
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -99,7 +111,7 @@ def ordered_row_number(
     ``<name>`` and ``<name>_of`` (rows of the key).
     """
     levels = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
-    levels = running_sums(levels, keys, order, ["_n"], descending, value, buckets)
+    levels = running_sums(levels, keys, order, ["_n"], descending, value, buckets, df)
     levels = levels.select(*keys, order, (F.col("cum__n") - F.col("_n")).alias("_start"), F.col("total__n").alias("_of"))
 
     inner = [*keys, order]
@@ -126,7 +138,7 @@ def ordered_row_number(
 def dense_rank_levels(df: DataFrame, order: str, name: str, descending: bool = False) -> DataFrame:
     """Table (order, dense rank) over the whole frame, missing values last."""
     levels = df.groupBy(order).agg(F.lit(1).alias("_one"))
-    present = running_sums(levels.where(F.col(order).isNotNull()), [], order, ["_one"], descending)
+    present = running_sums(levels.where(F.col(order).isNotNull()), [], order, ["_one"], descending, bounds_from=df)
     ranked = present.select(order, F.col("cum__one").alias(name), (F.col("total__one") + 1).alias("_last"))
     last = F.coalesce(present.agg(F.max("total__one")).scalar() + 1, F.lit(1))
     missing = levels.where(F.col(order).isNull()).select(order, last.alias(name))

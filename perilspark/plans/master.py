@@ -15,6 +15,7 @@ from ..operators.columns import drop_missing
 from ..operators.forecast import mean_over_leads
 from ..operators.grid import GridSpec, match_to_grid, regrid_nearest
 from ..operators.joins import broadcast_if_small
+from ..session import materialise
 
 KEYS = ["lon", "lat", "time"]
 
@@ -67,11 +68,19 @@ def align_features(
     return with_time_parts(merged, ["month", "week", "yearmon"])
 
 
-def at_stations(grid_features: DataFrame, stations: DataFrame, grid: GridSpec) -> DataFrame:
-    """Features of each station's nearest node, at the station's coordinates."""
-    places = match_to_grid(stations.select("lon", "lat").distinct(), grid, "lon", "lat", "_lon", "_lat")
-    nodes = grid_features.withColumnsRenamed({"lon": "_lon", "lat": "_lat"})
-    return nodes.join(broadcast_if_small(places), ["_lon", "_lat"]).drop("_lon", "_lat")
+def station_nodes(stations: DataFrame, grid: GridSpec) -> DataFrame:
+    """Distinct station coordinates with their grid node, written once."""
+    distinct = stations.select("lon", "lat").distinct()
+    return materialise(match_to_grid(distinct, grid, "lon", "lat", "node_lon", "node_lat"), "station-nodes")
+
+
+def at_stations(grid_features: DataFrame, places: DataFrame) -> DataFrame:
+    """Features of each station's nearest node, at the station's coordinates.
+
+    ``places`` comes from ``station_nodes``.
+    """
+    nodes = grid_features.withColumnsRenamed({"lon": "node_lon", "lat": "node_lat"})
+    return nodes.join(broadcast_if_small(places), ["node_lon", "node_lat"]).drop("node_lon", "node_lat")
 
 
 def training_table(
@@ -83,9 +92,10 @@ def training_table(
     steps: list[int],
 ) -> DataFrame:
     """Features at the stations joined with observed targets."""
-    nodes = match_to_grid(target_table.select("lon", "lat").distinct(), grid, "lon", "lat").select("lon", "lat")
-    features = at_stations(align_features(feature_sets, grid, calendar, steps, nodes), target_table, grid)
-    observed = drop_missing(target_table, [target])
+    places = station_nodes(target_table, grid)
+    nodes = places.select(F.col("node_lon").alias("lon"), F.col("node_lat").alias("lat"))
+    features = at_stations(align_features(feature_sets, grid, calendar, steps, nodes), places)
+    observed = drop_missing(target_table.where(calendar.between("time")), [target])
     return features.join(observed, KEYS)
 
 
