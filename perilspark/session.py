@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -34,17 +35,19 @@ def build_session(app: str = "perilspark", master: str | None = None, shuffle_pa
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=None)
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="perilspark-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test) a temporary folder is
-    created and recorded, so that later calls agree.
+    Only where the session names none (a local test) a temporary folder of
+    this application takes its place.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="perilspark-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    return path.rstrip("/") if path else _local_dir(spark.sparkContext.applicationId)
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
