@@ -198,13 +198,21 @@ def enclosing(spark, folder):
 
 
 def drop_constants(spark, folder):
-    r = table(spark, folder, "region").withColumns({"band": F.lit(1), "spatial_ref": F.lit(None).cast("int")})
-    return drop_constant_columns(r, ["band", "spatial_ref", "r_regionkey"], keep=["r_regionkey"])
+    c = table(spark, folder, "customer").withColumns({"band": F.lit(1), "spatial_ref": F.lit(None).cast("int")})
+    return drop_constant_columns(c, ["band", "spatial_ref", "c_custkey"], keep=["c_custkey"])
+
+
+def part_boxes(spark, folder):
+    """Raster cells as boxes, with the brand for selection."""
+    k = F.col("p_partkey")
+    x, y = F.round(-69.63 + (k % 50) * 0.25, 4), F.round(-10.01 - F.floor(k / 50) * 0.25, 4)
+    boxes = {"minx": x, "maxx": F.round(x + 0.25, 4), "miny": y, "maxy": F.round(y + 0.25, 4)}
+    return table(spark, folder, "part").select("p_brand", *[c.alias(n) for n, c in boxes.items()])
 
 
 def grid_points(spark, folder):
-    areas = nation_areas(spark, folder)
-    bounds = spatial_params(areas, include={"n_regionkey": [0, 1]}, exclude={"n_name": ["NATION_3"]})
+    rules = {"include": {"p_brand": ["Brand#1", "Brand#2", "Brand#3"]}, "exclude": {"p_brand": ["Brand#3"]}}
+    bounds = spatial_params(part_boxes(spark, folder), **rules)
     return GridSpec.from_bounds(**bounds, nodes_per_degree=10).points(spark)
 
 
@@ -371,9 +379,10 @@ def _linear_axis(name: str, targets: str, axis: str) -> str:
         union all select t, hi, (t - lo) / nullif(hi - lo, 0) from near where lo < hi)"""
 
 
-_NATION_BOX = """
-    box as (select floor(min(x1) * 10) / 10 as x0, floor(min(y1) * 10) / 10 as y0, ceil(max(x1) * 10) / 10 as x1, ceil(max(y1) * 10) / 10 as y1
-            from edges join nation using (n_nationkey) where n_regionkey in (0, 1) and edges.n_name <> 'NATION_3')
+_PART_BOX = """
+    cells as (select p_brand, round(-69.63e0 + (p_partkey % 50) * 0.25e0, 4) as x, round(-10.01e0 - (p_partkey // 50) * 0.25e0, 4) as y from part),
+    box as (select floor(min(x) * 10) / 10 as x0, floor(min(y) * 10) / 10 as y0, ceil(max(round(x + 0.25e0, 4)) * 10) / 10 as x1,
+                   ceil(max(round(y + 0.25e0, 4)) * 10) / 10 as y1 from cells where p_brand in ('Brand#1', 'Brand#2'))
 """
 _TN_FLAG = '("TNUP"=1 and "DTLO"=1) or ("TNLO"=1 and "DTLO"=1) or "TNXL"=1 or "TNJU"=1 or "UPTN"=1 or ("LOTN"=1 and "TNLO"=1)'
 _TN_SCORE = """(s('othQualProb')>=2 and s('misTempInt')>=2) or (s('othQualProb')>=3 and s('grossInhoFreq')>=3)
@@ -432,9 +441,9 @@ ORACLES = {
                      coalesce(max(lat) filter (lat <= b.y0), min(lat)) as ly0, coalesce(min(lat) filter (lat >= b.y1), max(lat)) as ly1
               from raster cross join b)
         select lon, lat, altitude from raster cross join l where lon between lx0 and lx1 and lat between ly0 and ly1""",
-    "drop_constant": "select r_regionkey, r_name from region",
+    "drop_constant": "select * from customer",
     "grid_points": f"""
-        with edges as ({AREA_EDGES}), {_NATION_BOX}
+        with {_PART_BOX}
         select round(x0 + i / 10e0, 6) as lon, round(y1 - j / 10e0, 6) as lat from box,
              generate_series(0, cast(ceil(round((x1 - x0) * 10, 6)) as bigint) - 1) a(i),
              generate_series(0, cast(ceil(round((y1 - y0) * 10, 6)) as bigint) - 1) b(j)""",
