@@ -161,7 +161,7 @@ def lead_mean(spark, folder):
 
 
 def lead_select(spark, folder):
-    return select_leads(lead_table(spark, folder), [2, 3, 4]).withColumn("step", F.col("step").cast("bigint"))
+    return select_leads(lead_table(spark, folder), [2, 3, 4])
 
 
 def first_run_per_day(spark, folder):

@@ -25,7 +25,7 @@ def calendar_gapfill(spark, folder):
 
 def coverage(spark, folder):
     orders = table(spark, folder, "orders")
-    return coverage_audit(orders, YEARS, "o_orderdate").withColumn("status", F.col("status"))
+    return coverage_audit(orders, YEARS, "o_orderdate").withColumn("year", F.col("year").cast("bigint"))
 
 
 def uncovered_days(spark, folder):
