@@ -81,6 +81,13 @@ def select_points(cells: DataFrame, points: DataFrame, keys: tuple[str, str] = (
     return cells.join(wanted, list(keys), "left_semi")
 
 
+def padded_id(number: Column, of: Column) -> Column:
+    """``ID-`` and the number, padded to the widest number and at least 3."""
+    width = F.greatest(F.length(of.cast("string")), F.lit(3))
+    digits = number.cast("string")
+    return F.concat(F.lit("ID-"), F.repeat(F.lit("0"), width - F.length(digits)), digits)
+
+
 def number_locations(df: DataFrame, lon: str = "lon", lat: str = "lat", name: str = "location_id") -> DataFrame:
     """Distinct locations numbered ``ID-001…`` west to east, north to south."""
     if lon not in df.columns or lat not in df.columns:
@@ -88,10 +95,7 @@ def number_locations(df: DataFrame, lon: str = "lon", lat: str = "lat", name: st
     rest = [c for c in df.columns if c not in (lon, lat)]
     places = first_per_key(df.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()), [lon, lat], rest) if rest else df.distinct()
     numbered = ordered_row_number(places, [], lon, [lat], "_i", tie_value=-F.col(lat))
-    width = F.greatest(F.length(F.col("_i_of").cast("string")), F.lit(3))
-    digits = F.col("_i").cast("string")
-    padded = F.concat(F.repeat(F.lit("0"), width - F.length(digits)), digits)
-    return numbered.withColumn(name, F.concat(F.lit("ID-"), padded)).drop("_i", "_i_of")
+    return numbered.withColumn(name, padded_id(F.col("_i"), F.col("_i_of"))).drop("_i", "_i_of")
 
 
 def total_bounds(geometries: DataFrame) -> dict[str, float]:

@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 STEP = 2  # levels per descent: 16 children per cell
 MAX_LEVEL = 24
 LEAF_POINTS = 32  # stop refining once no cell holds more points than this
@@ -43,7 +45,8 @@ def nearest_points(
     t_lon, t_lat = target_coords
     s_lon, s_lat = sample_coords
     points = samples.select(F.col(s_lon).cast("double").alias("lon"), F.col(s_lat).cast("double").alias("lat"))
-    points = points.na.drop().distinct()
+    # Written once: every level below reads the distinct points again.
+    points = materialise(points.na.drop().distinct(), "sample-points")
     places = targets.select(F.col(t_lon).cast("double").alias("tx"), F.col(t_lat).cast("double").alias("ty"))
     places = places.na.drop().distinct()
 
@@ -56,11 +59,10 @@ def nearest_points(
 
     leaf = {"cx": _cell(F.col("lon"), x0, side, level), "cy": _cell(F.col("lat"), y0, side, level)}
     points = points.withColumns(leaf)
-    counts = {level: points.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))}
+    counts = {level: materialise(points.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")), "sample-cells")}
     for upper in range(level - STEP, 0, -STEP):
-        lower = counts[upper + STEP]
-        parent = [F.shiftright(c, STEP).alias(c) for c in ("cx", "cy")]
-        counts[upper] = lower.groupBy(*parent).agg(F.sum("n").alias("n"))
+        parent = [F.shiftright(c, level - upper).alias(c) for c in ("cx", "cy")]
+        counts[upper] = counts[level].groupBy(*parent).agg(F.sum("n").alias("n"))
 
     frontier = places.withColumns({"cx": F.lit(0).cast("long"), "cy": F.lit(0).cast("long")})
     for at in range(STEP, level + 1, STEP):

@@ -10,7 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numeric import snap_bounds
+from .columns import include_exclude
+from .grid import padded_id, total_bounds
 from .joins import broadcast_if_small
+from .ordered import ordered_row_number
 
 EDGES = T.ArrayType(T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")]))
 
@@ -49,6 +53,35 @@ def box_polygon(spark: SparkSession, minx: float, miny: float, maxx: float, maxy
     return polygons_from_rings(spark, ["location_id"], [(location_id, ring)])
 
 
+def number_areas(polygons: DataFrame, name: str = "location_id") -> DataFrame:
+    """Distinct shapes numbered ``ID-001…`` by their north-western corner."""
+    shapes = polygons.dropDuplicates(["edges"])
+    numbered = ordered_row_number(shapes, [], "minx", ["maxy", "edges"], "_i", tie_value=-F.col("maxy"))
+    return numbered.withColumn(name, padded_id(F.col("_i"), F.col("_i_of"))).drop("_i", "_i_of")
+
+
+def area_of_interest(
+    spark: SparkSession,
+    polygons: DataFrame | None = None,
+    bounds: dict[str, float] | None = None,
+    include: dict[str, list] | None = None,
+    exclude: dict[str, list] | None = None,
+    parts: int = 10,
+) -> tuple[dict[str, float], DataFrame]:
+    """Bounds grown to 1/parts degree, and the area's polygons with ids.
+
+    Given ``bounds`` make one box; otherwise the selected polygons count, and
+    an empty selection is an error.
+    """
+    if bounds is not None:
+        grown = snap_bounds(**bounds, parts=parts)
+        return grown, box_polygon(spark, **grown)
+    if polygons is None:
+        raise ValueError("give polygons or bounds")
+    chosen = include_exclude(number_areas(polygons), include, exclude)
+    return snap_bounds(**total_bounds(chosen), parts=parts), chosen
+
+
 def _contains(x: Column, y: Column, edges: Column) -> Column:
     """Even-odd ray test: left and bottom borders are in, right and top out."""
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import brute
 from perilspark.operators import metrics as M
-from perilspark.operators.ordered import dense_rank_levels, ordered_row_number, running_sums
+from perilspark.operators.ordered import dense_rank_levels, ordered_row_number, running_sums, with_quantile_bucket
 from perilspark.operators.ranking import best_trials, quantile_class, rank_trials
 
 
@@ -43,6 +43,15 @@ def test_row_numbers(spark, scored, keys):
     assert (both["want"] == both["r"]).all()
 
 
+def test_no_task_holds_a_hot_group(spark, scored):
+    """One group with a third of the rows, half of the scores tied at zero."""
+    df = spark.createDataFrame(scored)
+    levels = df.groupBy("g", "p").agg(F.count(F.lit(1)).alias("n"))
+    bucketed = with_quantile_bucket(levels, F.col("p"), 10, bounds_from=df)
+    largest = bucketed.groupBy("g", "_bucket").count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * len(scored) / 10 and largest < 0.5 * levels.where("g = 'hot'").count()
+
+
 def test_dense_ranks_put_missing_last(spark):
     df = spark.createDataFrame([(3.0,), (1.0,), (3.0,), (None,)], "v double")
     assert {r["v"]: r["k"] for r in dense_rank_levels(df, "v", "k", True).collect()} == {3.0: 1, 1.0: 2, None: 3}

@@ -196,6 +196,13 @@ def test_accumulation_between_leads(spark):
     assert clipped == {"c": 0.0, "d": None}
 
 
+def test_accumulation_with_hour_alignment(spark):
+    at = dt.datetime(2024, 1, 1, 18)
+    df = spark.createDataFrame([("c", at, 24, 1.0), ("c", at, 48, 4.0)], "cell string, time timestamp, step int, tp double")
+    row = accumulate_between(df, ["tp"], ["cell"], 24, 48, clip=True, shift_hours=30, suffix="_cum").first()
+    assert row["tp_cum"] == 3.0 and row["time"] == dt.datetime(2024, 1, 3, 0)
+
+
 def test_leads_as_intervals(spark):
     df = spark.createDataFrame([(dt.timedelta(days=2, hours=12),)], "step interval day to second")
     assert df.select(lead_days("step")).first()[0] == 2.5

@@ -20,7 +20,7 @@ from perilspark.operators.grid import (
     total_bounds,
 )
 from perilspark.operators.nearest import nearest_points
-from perilspark.operators.spatial import box_polygon, polygon_join, polygons_from_rings
+from perilspark.operators.spatial import area_of_interest, box_polygon, polygon_join, polygons_from_rings
 from perilspark.operators.terrain import terrain, terrain_features
 
 
@@ -141,6 +141,18 @@ def test_bounds_of_a_selection(spark, shapes):
     assert box_polygon(spark, 0, 1, 2, 3).first()["location_id"] == "ID-000"
 
 
+def test_area_of_interest(spark, shapes):
+    bounds, areas = area_of_interest(spark, shapes.unionByName(shapes), exclude={"name": ["far"]})
+    assert bounds == {"minx": 0.0, "miny": 0.0, "maxx": 4.0, "maxy": 4.0}
+    assert {r["name"]: r["location_id"] for r in areas.collect()} == {"L": "ID-001", "box": "ID-002"}
+    bounds, areas = area_of_interest(spark, bounds={"minx": 0.11, "miny": 0.0, "maxx": 0.55, "maxy": 1.0})
+    assert bounds == {"minx": 0.1, "miny": 0.0, "maxx": 0.6, "maxy": 1.0} and areas.first()["location_id"] == "ID-000"
+    with pytest.raises(ValueError):
+        area_of_interest(spark)
+    with pytest.raises(ValueError):
+        area_of_interest(spark, shapes, include={"name": ["none"]})
+
+
 def raster(spark, z, lons=None, lats=None):
     lons = lons if lons is not None else np.arange(z.shape[1]) * 0.5
     lats = lats if lats is not None else -np.arange(z.shape[0]) * 0.5
