@@ -9,19 +9,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from perilspark.llm.common import crc_part
+from perilspark.llm.embedding_dedup import embedding_groups
+from perilspark.llm.quality import score_quality
+from perilspark.llm.sharding import shard_documents
 from perilspark.llm.simhash_dedup import simhash_groups
+from perilspark.llm.toxicity import score_toxicity
+from perilspark.llm.url_filter import judge_urls
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def sharding(spark: SparkSession, folder: str) -> DataFrame:
+    rows = shard_documents(table(spark, folder, "documents"), shards=40)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = crc_part("doc_id", 4) == 2
+    scores = score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = crc_part("doc_id", 4) == 2
+    scores = score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"))
+
+
+def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_groups(table(spark, folder, "embeddings"))
+
+
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = simhash_groups(table(spark, folder, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op2_sharding": sharding,
+    "op3_toxicity": toxicity,
+    "op4_quality_classifier": quality_classifier,
+    "op7_url_filter": url_filter,
+    "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_simhash_near_dedup": simhash_near_dedup,
 }
 
