@@ -1,7 +1,7 @@
 """Toxicity: a support vector machine on a subsequence string kernel with Nystrom landmarks.
 
 The kernel of two words is the inner product over all subsequences of ``P`` letters, each weighted by ``DECAY`` to the
-power of its span, normalised; words that share most of an insult's letters in order are near it, with gaps or inserted
+power of its span, divided by the length that the weights of each word's places have; words that share most of an insult's letters in order are near it, with gaps or inserted
 characters too. Words are folded to plain letters first (case, accents, digits that stand for letters, symbols dropped), and runs of
 single letters (``i d i o t``) are read as one word.
 
@@ -80,26 +80,6 @@ def subsequences(length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, DECAY ** (at[:, -1] - at[:, 0] + 1.0)
 
 
-def own_kernel(letters: np.ndarray) -> np.ndarray:
-    """Kernel of each word (a row of letters) with itself, by the recursion over prefixes."""
-    words, n = letters.shape
-    same = letters[:, :, None] == letters[:, None, :]
-    inner = np.ones((n + 1, n + 1, words))
-    for _ in range(P - 1):
-        nxt = np.zeros((n + 1, n + 1, words))
-        for i in range(1, n + 1):
-            run = np.zeros(words)
-            for j in range(1, n + 1):
-                run = DECAY * run + DECAY**2 * same[:, i - 1, j - 1] * inner[i - 1, j - 1]
-                nxt[i, j] = DECAY * nxt[i - 1, j] + run
-        inner = nxt
-    total = np.zeros(words)
-    for i in range(n):
-        for j in range(n):
-            total += DECAY**2 * same[:, i, j] * inner[i, j]
-    return total
-
-
 def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Positions, subsequence numbers, their weights and norms for the words of each length from P on, in bounded parts."""
     lengths = np.array([len(w) for w in words], np.int64)
@@ -108,11 +88,11 @@ def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         at, weight = subsequences(int(n))
         for first in range(0, len(mine), 2000):
             some = mine[first : first + 2000]
-            letters = np.frombuffer(b"".join([words[i] for i in some]), np.uint8).reshape(len(some), n).astype(np.int64) - MARK[0]
-            number = letters[:, at[:, 0]]
+            letters = np.frombuffer(b"".join([words[i] for i in some]), np.uint8).reshape(len(some), n).astype(np.int32) - MARK[0]
+            number = letters[:, at[:, 0]].astype(np.int32)
             for k in range(1, P):
                 number = number * LETTERS + letters[:, at[:, k]]
-            yield some, number, weight, np.sqrt(own_kernel(letters))
+            yield some, number, weight, np.full(len(some), np.sqrt((weight**2).sum()))
 
 
 def features(words: list[bytes]) -> np.ndarray:
@@ -131,7 +111,7 @@ def kernels(words: list[bytes], table: np.ndarray) -> np.ndarray:
     for some, number, weight, norm in by_length(words):
         for first in range(0, len(some), 20):
             part = slice(first, first + 20)
-            out[some[part]] = np.einsum("wsl,s->wl", turned[number[part]], weight) / norm[part, None]
+            out[some[part]] = np.matmul(weight.astype(np.float32), turned[number[part]]) / norm[part, None]
     return out
 
 
@@ -189,7 +169,7 @@ class Margins:
 
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
-        self.memo = WordMemo(self.describe)
+        self.memo = WordMemo(self.describe, 800_000)
 
     def of_folded(self, words: list[bytes]) -> np.ndarray:
         """A word has the margin of its worst piece; words without letters have that of the bias."""
