@@ -9,11 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from perilspark.llm.common import crc_part
+from perilspark.llm.decontamination import contaminated
 from perilspark.llm.embedding_dedup import embedding_groups
+from perilspark.llm.lm_score import score_documents
+from perilspark.llm.packing import pack_documents
 from perilspark.llm.quality import score_quality
 from perilspark.llm.sharding import shard_documents
 from perilspark.llm.simhash_dedup import simhash_groups
+from perilspark.llm.suffix_dedup import suffix_dedup
 from perilspark.llm.toxicity import score_toxicity
 from perilspark.llm.url_filter import judge_urls
 
@@ -22,6 +27,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup(table(spark, folder, "documents")).drop("doc", "kept")
+
+
 def sharding(spark: SparkSession, folder: str) -> DataFrame:
     rows = shard_documents(table(spark, folder, "documents"), shards=40)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -39,6 +48,20 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents")).drop("ids")
+
+
+def lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = crc_part("doc_id", 7) == 2
+    scores = score_documents(table(spark, folder, "documents"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"))
 
@@ -53,12 +76,17 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": suffix_array_dedup,
     "op2_sharding": sharding,
     "op3_toxicity": toxicity,
     "op4_quality_classifier": quality_classifier,
+    "op5_benchmark_decontamination": benchmark_decontamination,
+    "op6_packing": packing,
     "op7_url_filter": url_filter,
+    "op8_lm_score": lm_score,
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_simhash_near_dedup": simhash_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
