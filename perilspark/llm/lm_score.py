@@ -14,6 +14,7 @@ bounded size; every other word of every document is joined with the counts. No r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -65,11 +66,17 @@ class Corpus:
         return counts, name[codes], kind[codes]
 
 
+@lru_cache(maxsize=1)
+def corpus_of_worker() -> Corpus:
+    """One for all tasks of a worker, so that words are described once."""
+    return Corpus()
+
+
 def token_counts(rows: DataFrame) -> DataFrame:
     """``name`` (hash), ``kind`` and ``n`` of every token of all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus = Corpus()
+        corpus = corpus_of_worker()
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def sums() -> pa.RecordBatch:
@@ -164,7 +171,7 @@ def train_classes(rows: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
 
     def one_round(weights: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            corpus, own, squares, seen = Corpus(), weights.copy(), np.zeros_like(weights), 0
+            corpus, own, squares, seen = corpus_of_worker(), weights.copy(), np.zeros_like(weights), 0
             for batch in batches:
                 for _, texts in byte_batches(batch, "body"):
                     counts, names, kinds = corpus(texts)
@@ -222,7 +229,7 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
     spread = float(total + words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus = Corpus()
+        corpus = corpus_of_worker()
         for batch in batches:
             for first, texts in byte_batches(batch, "body"):
                 sizes, names, kinds = corpus(texts)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,17 @@ class Tokens:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
+        """Ids of new words. The tokenizer lower-cases, and letters are never joined with a comma or full stop after them."""
+        parts = {}
+        for w in words:
+            low = w.lower()
+            stem, tail = low[:-1], low[-1:]
+            parts[w] = (stem, tail) if tail in (b",", b".") and stem.decode("utf-8", "replace").isalpha() else (low, b"")
+        self.encode(list({x for pair in parts.values() for x in pair if x} - self.known.keys()))
+        for w, (stem, tail) in parts.items():
+            self.known[w] = self.known[stem] + (self.known[tail] if tail else b"")
+
+    def encode(self, words: list[bytes]) -> None:
         odd = [w for w in words if b"<|" in w]
         plain = [w for w in words if b"<|" not in w]
         for w in odd:
@@ -80,6 +92,12 @@ class Tokens:
         return [b"".join([self.known[w] for w in x]) + end for x in split]
 
 
+@lru_cache(maxsize=2)
+def tokens_of(name: str) -> Tokens:
+    """One for all tasks of a worker."""
+    return Tokens(name)
+
+
 def combinations_of(histogram: np.ndarray, window: int) -> list[tuple[tuple[int, int], ...]]:
     """Combinations of present lengths that leave no padding: tuples of (length, times)."""
     present = np.flatnonzero(histogram)
@@ -194,7 +212,7 @@ def tokenize(docs: DataFrame, key: str, text: str, tokenizer: str) -> DataFrame:
     """``row`` (a number for the row), ``id``, ``n`` and ``ids`` (binary) of every document, written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(tokenizer)
+        tokens = tokens_of(tokenizer)
         for batch in batches:
             for first, texts in byte_batches(batch, "body"):
                 ids = tokens(texts)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +80,12 @@ class Features:
         return (np.stack(columns, axis=1).ravel() >> np.uint64(64 - BITS)).astype(np.int64), counts * len(columns), counts
 
 
+@lru_cache(maxsize=1)
+def features_of_worker() -> Features:
+    """One for all tasks of a worker, so that words are described once."""
+    return Features()
+
+
 def margin(weights: np.ndarray, bias: float, features: Features, texts: list[bytes]) -> np.ndarray:
     numbers, lengths, words = features(texts)
     return bias + sum_by_row(weights[numbers], lengths) * SCALE / np.maximum(words, 1)
@@ -111,7 +118,7 @@ def one_epoch(z: np.ndarray, n: np.ndarray):
 
     def run(shard: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("o", "ascending"), ("id", "ascending")])
-        state, features = Ftrl(z.astype(np.float64), n.astype(np.float64)), Features()
+        state, features = Ftrl(z.astype(np.float64), n.astype(np.float64)), features_of_worker()
         for batch in table.to_batches(max_chunksize=2000):
             labels = batch.column("y").to_numpy()
             for first, texts in byte_batches(batch, "body"):
@@ -146,7 +153,7 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, bias: float, key: str =
     """``key`` and ``score``, the probability of good quality; empty and null texts get that of the bias alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        features = features_of_worker()
         for batch in batches:
             for first, texts in byte_batches(batch, "body"):
                 score = logistic(margin(weights, bias, features, texts))

@@ -14,7 +14,7 @@ class WordMemo:
     The limit only bounds memory: the table starts anew when it is full, and results don't depend on it.
     """
 
-    def __init__(self, describe: Callable[[list[bytes]], tuple[np.ndarray, ...]], limit: int = 300_000):
+    def __init__(self, describe: Callable[[list[bytes]], tuple[np.ndarray, ...]], limit: int = 600_000):
         self.describe, self.limit = describe, limit
         self.codes: dict[bytes, int] = {}
         self.columns: list[np.ndarray] = []
