@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from perilspark.llm.common import bounded_sample
 from perilspark.session import materialise
 
-TRAIN_ROWS = 20_000
+TRAIN_ROWS, TRAIN_PARTS = 20_000, 8
 TREES, DEPTH, SEED = 20, 4, 1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -126,7 +126,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule] | None = None, key: str = "pa
     if len(kinds) < 2:
         scored = rows.withColumn("score", F.lit(0.0))
     else:
-        sample = materialise(bounded_sample(known.select("id", "features", "label"), "id", TRAIN_ROWS), "url-train")
+        # A bounded table in few files: the trees go over it once a level.
+        sample = materialise(bounded_sample(known.select("id", "features", "label"), "id", TRAIN_ROWS).repartition(TRAIN_PARTS), "url-train")
         trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.2).fit(sample)
         scored = trees.transform(rows).withColumn("score", vector_to_array("probability")[1])
     method = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
