@@ -43,11 +43,17 @@ def _local_dir(application: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local test) a temporary folder of
-    this application takes its place.
+    Only where a session with one machine (master ``local``) names none, a
+    temporary folder of this application takes its place; on a cluster that is
+    an error, since executors would each write to their own disk.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    return path.rstrip("/") if path else _local_dir(spark.sparkContext.applicationId)
+    if path:
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
