@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.temporal import Calendar
 from ..operators.calendar import coverage_audit
+from ..operators.forecast import first_per_key
 from ..session import materialise
 
 
@@ -73,22 +74,26 @@ def read_period(spark: SparkSession, path: str, start: dt.date | str, end: dt.da
     return _partition_text(table.where(month.between(*bounds) & period.between(time)), partition)
 
 
-def upsert(new: DataFrame, path: str, keys: list[str], partition: str = "yearmon") -> None:
+def upsert(new: DataFrame, path: str, keys: list[str], partition: str = "yearmon", order: list[str] | None = None) -> None:
     """Replace rows with equal keys, insert the others.
 
+    Of several new rows with one key the first by ``order`` (then by the other
+    columns) is taken; null keys are a key like others.
     Only partitions that receive rows are read and rewritten. The partition
     column must follow from the keys. The merged rows are written aside first,
     so the table is never read and replaced in one job.
     """
     spark = new.sparkSession
-    fresh = _partition_text(materialise(new, "upsert-new"), partition)
+    fresh = _partition_text(materialise(first_per_key(new, keys, order or []), "upsert-new"), partition)
     try:
         # The merge schema keeps old tables readable after a new column came.
         old = _partition_text(read_table(spark, path, merge=True), partition)
     except FileNotFoundError:
         return overwrite_partitions(fresh, path, partition)
     touched = fresh.agg(F.collect_set(partition)).scalar()  # partition values: months or days
-    kept = old.where(F.array_contains(touched, F.col(partition))).join(fresh.select(*keys), keys, "left_anti")
+    names = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
+    kept = old.where(F.array_contains(touched, F.col(partition))).join(names, same, "left_anti")
     merged = fresh.unionByName(kept, allowMissingColumns=True)
     return overwrite_partitions(materialise(merged, "upsert-merged"), path, partition)
 

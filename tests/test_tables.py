@@ -92,3 +92,12 @@ def test_stream_dedupe(spark, tmp_path):
         stream = forecast_stream(spark, source, spark.read.parquet(source).schema)
         append_stream(dedupe_stream(stream, ["cell", "time"], "time", "60 days"), out, progress)
     assert spark.read.parquet(out).count() == 20
+
+
+def test_upsert_keeps_one_row_per_key(spark, tmp_path):
+    path = str(tmp_path / "table")
+    first = spark.createDataFrame([(1, "a", 5.0), (1, "a", 4.0), (None, "a", 1.0)], "k int, yearmon string, v double")
+    upsert(first, path, ["k", "yearmon"])
+    upsert(spark.createDataFrame([(None, "a", 2.0), (2, "a", 3.0)], "k int, yearmon string, v double"), path, ["k", "yearmon"])
+    rows = {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()}
+    assert rows == {(1, 4.0), (None, 2.0), (2, 3.0)}
