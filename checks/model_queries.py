@@ -74,7 +74,7 @@ def aligned(spark, folder):
 
 def master_predict(spark, folder):
     day = Calendar("1998-02-10", "1998-02-10")
-    return _shown(inference_table(feature_sets(spark, folder)[:2], GRID, day, STEPS).withColumn("altitude", F.lit(0)))
+    return _shown(inference_table(feature_sets(spark, folder), GRID, day, STEPS))
 
 
 def station_extract(spark, folder):
@@ -327,7 +327,7 @@ def _placed(name: str, columns: str, known_grid: bool = True) -> str:
              join {name}x on {name}x.s = {name}.lon join {name}y on {name}y.s = {name}.lat)"""
 
 
-def _features_sql(start: str, end: str, static: bool) -> str:
+def _features_sql(start: str, end: str) -> str:
     inside = f"time between date '{start}' and date '{end}'"
     ctes = f"""
         {_NODES},
@@ -337,9 +337,6 @@ def _features_sql(start: str, end: str, static: bool) -> str:
         rain as (select lon, lat, time, round(sum(o_totalprice), 2) as tp
                  from (select {_cell_sql('o_custkey')}, cast(o_orderdate as date) as time, o_totalprice from orders) where {inside} group by 1, 2, 3),
         {_placed('leads', 'time, t2m')}, {_placed('rain', 'time, tp')}"""
-    if not static:
-        return ctes + """, feats as (select coalesce(a.lon, b.lon) as lon, coalesce(a.lat, b.lat) as lat, coalesce(a.time, b.time) as time, t2m, tp,
-            0 as altitude from leadsg a full join raing b on a.lon = b.lon and a.lat = b.lat and a.time = b.time)"""
     return ctes + f""",
         static as (select lon, lat, max(s_acctbal) as altitude from (select {_cell_sql('s_suppkey')}, s_acctbal from supplier) group by 1, 2),
         {_placed('static', 'altitude', False)},
@@ -350,7 +347,7 @@ def _features_sql(start: str, end: str, static: bool) -> str:
                   from ab a full join base b on a.lon = b.lon and a.lat = b.lat and a.time = b.time)"""
 
 
-_FEATURES = _features_sql("1998-01-01", "1998-03-31", True)
+_FEATURES = _features_sql(SEASON.start, SEASON.end)
 _TIME = "month(time) as month, weekofyear(time) as week, strftime(time, '%Y%m') as yearmon"
 _STATIONS = f"""
     stations as (select lon, lat, time, max(case when o_totalprice % 3 < 2 then case when o_totalprice > 250000 then 1 else 0 end end) as target
@@ -446,7 +443,7 @@ _CUM = "with m as ({0}), c as (select yearmon, count(*) as n from m group by 1),
 
 ORACLES = {
     "align_features": f"with {_FEATURES} select lon, lat, time, round(t2m, 6) as t2m, tp, altitude, {_TIME} from feats",
-    "master_predict": f"with {_features_sql('1998-02-10', '1998-02-10', False)} select lon, lat, time, round(t2m, 6) as t2m, tp, altitude, {_TIME} from feats",
+    "master_predict": f"with {_features_sql('1998-02-10', '1998-02-10')} select lon, lat, time, round(t2m, 6) as t2m, tp, altitude, {_TIME} from feats",
     "station_extract": f"""
         with {_FEATURES}, {_STATIONS}
         select spots.lon, spots.lat, time, round(t2m, 6) as t2m, tp, altitude, {_TIME} from spots join feats on feats.lon = nlon and feats.lat = nlat""",

@@ -15,7 +15,7 @@ from .climate_queries import TWO_SOURCES, two_sources
 from .series_queries import _ahead, doy_moments_sql, percentile_sql
 from .spatial_queries import _X, _Y, AREA_EDGES, hits_sql, nation_areas
 
-PERIOD = Calendar("1995-01-01", "2000-12-31")
+PERIOD = Calendar("1995-01-01", "2001-12-31")
 PRODUCT_GRID = GridSpec(-69.6, -10.0, 10, 10, 1)
 BOUNDS = {"minx": -69.0, "miny": -22.5, "maxx": -57.0, "maxy": -10.0}
 
@@ -97,7 +97,7 @@ def _base_sql(value: str, shift: bool, closed: bool, exclude: str, fill: bool =
     day = "cast(time - interval 1 day as date)" if shift else "time"
     node_x = "round(-69.6e0 + greatest(0, least(9, ceil(round(lon + 69.6e0, 6) - 0.5))), 6)"
     node_y = "round(-10e0 - greatest(0, least(9, floor(round(-10e0 - lat, 6) + 0.5))), 6)"
-    days = f"stations cross join (select cast(unnest(generate_series(date '1995-01-01', date '2000-12-31', interval 1 day)) as date) as time) d"
+    days = f"stations cross join (select cast(unnest(generate_series(date '1995-01-01', date '2001-12-31', interval 1 day)) as date) as time) d"
     source = f"(select stations.*, d.time from {days}) s left join obs o on o.station_id = s.station_id and o.time = s.time" if fill else \
         "(select stations.*, obs.time from stations join obs using (station_id)) s join obs o on o.station_id = s.station_id and o.time = s.time"
     return f"""
@@ -106,7 +106,7 @@ def _base_sql(value: str, shift: bool, closed: bool, exclude: str, fill: bool =
                          round({_Y} + 0.7e0 + (n_nationkey % 2) * 1.0e0, 4) as lat
                   from (select c_nationkey as n_nationkey, o_orderdate, o_totalprice from orders join customer on o_custkey = c_custkey)),
         daily as (select n_nationkey as station_id, lon, lat, cast(o_orderdate as date) as time, round(sum(o_totalprice) / 1000, 2) as v from keyed group by all),
-        inside as (select * from daily where {box} and time between date '1995-01-01' and date '2000-12-31' {exclude}),
+        inside as (select * from daily where {box} and time between date '1995-01-01' and date '2001-12-31' {exclude}),
         spots as (select distinct station_id, lon, lat from inside),
         located as ({hits_sql('spots', 'station_id')}),
         stations as (select spots.* from spots where station_id in (select station_id from located)),

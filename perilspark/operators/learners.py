@@ -65,6 +65,9 @@ def climate_clusters(records: DataFrame, value: str, station: list[str], static:
 CLASSIFIERS = ("hgbc", "xgbc", "lgbc")
 REGRESSORS = ("hgbr", "xgbr", "lgbr")
 
+#: Split candidates of a feature; more where a category has more levels.
+MIN_BINS = 64
+
 # Names of boosting parameters in a configuration and in Spark ML. Parameters
 # without a counterpart (leaf counts, base score, random state) are ignored.
 _BOOSTING = {
@@ -80,14 +83,17 @@ def is_classifier(algorithm: str) -> bool:
     return algorithm in CLASSIFIERS
 
 
-def make_learner(algorithm: str, n_classes: int = 2, params: dict | None = None, seed: int = 24):
-    """Tree learner for a configured name with configured parameters."""
+def make_learner(algorithm: str, n_classes: int = 2, params: dict | None = None, seed: int = 24, bins: int = MIN_BINS):
+    """Tree learner for a configured name with configured parameters.
+
+    ``bins`` is at least the number of levels of the richest category.
+    """
     given = {}
     for name, value in (params or {}).items():
         if name in _BOOSTING:
             spark_name = _BOOSTING[name]
             given[spark_name] = str(value) if spark_name == "featureSubsetStrategy" else value
-    common = {"featuresCol": "features", "labelCol": "_label", "seed": seed, "maxBins": 64, "weightCol": "_weight"}
+    common = {"featuresCol": "features", "labelCol": "_label", "seed": seed, "maxBins": bins, "weightCol": "_weight"}
     if not is_classifier(algorithm):
         return GBTRegressor(**common, **given)
     if n_classes > 2:
@@ -169,14 +175,16 @@ def fit_learner(
     code. Missing numbers take the training median.
     """
     coded, filled = [f"{c}_code" for c in categorical], [f"{c}_filled" for c in numeric]
-    stages = []
+    ready = class_weights(train.where(F.col(label).isNotNull()), label, algorithm, params)
+    ready = ready.withColumns({"_label": F.col(label).cast("double"), **{c: F.col(c).cast("double") for c in numeric}})
+    stages, bins = [], MIN_BINS
     if categorical:
-        stages.append(StringIndexer(inputCols=categorical, outputCols=coded, handleInvalid="keep"))
+        indexer = StringIndexer(inputCols=categorical, outputCols=coded, handleInvalid="keep").fit(ready)
+        bins = max(bins, 1 + max(len(levels) for levels in indexer.labelsArray))  # unseen levels share one more code
+        stages.append(indexer)
     if numeric:
         stages.append(Imputer(inputCols=numeric, outputCols=filled, strategy="median"))
-    stages += [VectorAssembler(inputCols=coded + filled, outputCol="features"), make_learner(algorithm, n_classes, params, seed)]
-    ready = class_weights(train.where(F.col(label).isNotNull()), label, algorithm, params)
-    ready = ready.withColumns({"_label": F.col(label).cast("double"), **{c: F.col(c).cast("double") for c in numeric}})
+    stages += [VectorAssembler(inputCols=coded + filled, outputCol="features"), make_learner(algorithm, n_classes, params, seed, bins)]
     fitted = Pipeline(stages=stages).fit(ready)
     return HazardModel(algorithm, categorical + numeric, fitted, None, n_classes)
 

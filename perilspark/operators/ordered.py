@@ -17,19 +17,29 @@ from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
 _ORDER = "_order"
+#: Rows that one bucket is meant to hold at most.
+BUCKET_ROWS = 4_000_000
 
 
 def quantile_bounds(df: DataFrame, value: Column, buckets: int | None = None) -> list[float]:
-    """Inner bucket bounds of a numeric column: a fixed-size driver list.
+    """Inner bucket bounds of a numeric column, as a driver list.
 
     One pass that merges per-task sketches; it moves no rows. There are more
-    buckets than shuffle partitions, so that their hashes spread evenly.
+    buckets than shuffle partitions, so that their hashes spread evenly. The
+    pass counts the rows too: where a bucket would hold over ``BUCKET_ROWS``,
+    a second pass takes as many buckets as the rows need.
     """
-    if buckets is None:
-        buckets = max(8, min(4000, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(value.cast("double"), shares, 10 * buckets)).first()[0]
-    return sorted({float(v) for v in found or []})
+
+    def found(n: int, accuracy: int):
+        shares = [i / n for i in range(1, n)]
+        return df.agg(F.count(F.lit(1)), F.percentile_approx(value.cast("double"), shares, accuracy)).first()
+
+    n = buckets or max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows, bounds = found(n, 10 * n)
+    if buckets is None and rows > n * BUCKET_ROWS:
+        n = -(-rows // BUCKET_ROWS)
+        bounds = found(n, 2 * n)[1]
+    return sorted({float(v) for v in bounds or []})
 
 
 def with_quantile_bucket(

@@ -6,16 +6,20 @@ box. Rings of holes and of multi-polygons are simply further edges.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numeric import snap_bounds
+from ..session import materialise
 from .columns import include_exclude
 from .grid import padded_id, total_bounds
 from .joins import broadcast_if_small
 from .ordered import ordered_row_number
 
+#: Tiles start at this part of a cell, so that round coordinates fall on no tile side.
+SHIFT = 0.3819660112501051
+
 EDGES = T.ArrayType(T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")]))
 
 
@@ -82,15 +86,67 @@ def area_of_interest(
     return snap_bounds(**total_bounds(chosen), parts=parts), chosen
 
 
-def _contains(x: Column, y: Column, edges: Column) -> Column:
-    """Even-odd ray test: left and bottom borders are in, right and top out."""
+def _x_at(e, y: Column) -> Column:
+    return (e["x2"] - e["x1"]) * F.try_divide(y - e["y1"], e["y2"] - e["y1"]) + e["x1"]
+
+
+def _contains(x: Column, y: Column, edges: Column, odd: Column, east: Column, south: Column) -> Column:
+    """Even-odd test: left and bottom borders are in, right and top out.
+
+    The ray to the east is followed inside the tile only: along the point's
+    latitude to the tile's east side and down that side to its lower corner,
+    whose own ray crosses the outline ``odd`` times (modulo 2).
+    """
 
-    def crossed(e):
-        spans = (e["y1"] > y) != (e["y2"] > y)
-        at = (e["x2"] - e["x1"]) * F.try_divide(y - e["y1"], e["y2"] - e["y1"]) + e["x1"]
-        return spans & (x < at)
+    def across(e):
+        at = _x_at(e, y)
+        return ((e["y1"] > y) != (e["y2"] > y)) & (x < at) & (at <= east)
 
-    return F.size(F.filter(edges, crossed)) % 2 == 1
+    def down(e):
+        height = (e["y2"] - e["y1"]) * F.try_divide(east - e["x1"], e["x2"] - e["x1"]) + e["y1"]
+        rising = (e["y1"] != e["y2"]) & ((e["y2"] > e["y1"]) == (e["x2"] > e["x1"]))
+        below = lambda v: (height < v) | ((height == v) & ~rising)
+        return ((e["x1"] > east) != (e["x2"] > east)) & (below(y) != below(south))
+
+    crossings = F.size(F.filter(edges, across)) + F.size(F.filter(edges, down))
+    return (odd + F.when(edges.isNull(), 0).otherwise(crossings)) % 2 == 1
+
+
+def polygon_tiles(polygons: DataFrame, attributes: list[str], cell: float = 0.5) -> DataFrame:
+    """Square tiles that polygons cover: ``_px, _py, _odd, _edges`` and attributes.
+
+    A tile holds the edges that cross it and the parity of the outline east
+    of its lower right corner, a running sum along its row. Rows grow with
+    edges plus tiles; tiles outside a polygon are left out.
+    """
+    bounds = ["minx", "miny", "maxx", "maxy"]
+    shapes = polygons.select(F.xxhash64(*attributes, "edges").alias("_id"), "edges", *bounds, *[F.col(a).alias(f"_a_{a}") for a in attributes])
+    # Equal rows are one shape with copies; their edges must not meet.
+    shapes = shapes.groupBy("_id").agg(F.count(F.lit(1)).alias("_copies"), *[F.any_value(c).alias(c) for c in shapes.columns if c != "_id"])
+    index = lambda v: F.floor((v - cell * SHIFT) / cell)
+    span = lambda a, b: F.explode(F.sequence(index(a), index(b)))
+    slack = 1e-9
+
+    edge = {c: F.col(c) for c in ("x1", "y1", "x2", "y2")}
+    bands = shapes.select("_id", F.explode("edges").alias("_e")).select("_id", "_e.*")
+    bands = bands.withColumn("_py", span(F.least("y1", "y2") - slack, F.greatest("y1", "y2") + slack))
+    south = (F.col("_py") + SHIFT) * cell
+    inside = [F.greatest(south, F.least(south + cell, edge[c])) for c in ("y1", "y2")]
+    ends = [F.coalesce(_x_at(edge, y), edge[c]) for y, c in zip(inside, ("x1", "x2"))]
+    local = bands.withColumn("_px", span(F.least(*ends) - slack, F.greatest(*ends) + slack))
+    local = local.groupBy("_id", "_px", "_py").agg(F.collect_list(F.struct(*edge)).alias("_edges"))
+
+    last = F.ceil((_x_at(edge, south) - cell * SHIFT) / cell) - 2
+    crossed = bands.where((edge["y1"] > south) != (edge["y2"] > south)).select("_id", last.alias("_px"), "_py", F.lit(1).alias("_n"))
+    frame = shapes.select("_id", span(F.col("minx"), F.col("maxx")).alias("_px"), "miny", "maxy")
+    frame = frame.select("_id", "_px", span(F.col("miny"), F.col("maxy")).alias("_py"), F.lit(0).alias("_n"))
+    counts = frame.unionByName(crossed).groupBy("_id", "_px", "_py").agg(F.sum("_n").alias("_n"))
+    row = Window.partitionBy("_id", "_py").orderBy(F.desc("_px")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("_odd", F.sum("_n").over(row) % 2).drop("_n")
+
+    tiles = counts.join(local, ["_id", "_px", "_py"], "left").where((F.col("_odd") == 1) | F.col("_edges").isNotNull())
+    about = shapes.select("_id", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"), *[c for c in shapes.columns if c not in ("_id", "edges", "_copies")])
+    return tiles.join(about, "_id").drop("_id", "_copy").withColumnsRenamed({b: f"_{b}" for b in bounds})
 
 
 def polygon_join(
@@ -104,34 +160,21 @@ def polygon_join(
 ) -> DataFrame:
     """Attach the attributes of every polygon that contains the point.
 
-    Both sides meet on square cells, an equi-join: the polygons are broadcast
-    if their counted edges are few, otherwise both sides shuffle by cell and
-    AQE splits crowded cells. A polygon carries into a cell only the edges
-    that the ray of a point in that cell can meet.
+    Both sides meet on square tiles, an equi-join: the tiles are written once
+    and broadcast if their counted edges are few, otherwise both sides shuffle
+    by tile and AQE splits crowded ones.
     """
-    span = lambda a, b: F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell))
-    slack = 1e-9
-    tiles = polygons.withColumn("_cx", F.explode(span("minx", "maxx"))).withColumn("_cy", F.explode(span("miny", "maxy")))
-    west, south, north = F.col("_cx") * cell - slack, F.col("_cy") * cell - slack, (F.col("_cy") + 1) * cell + slack
-    relevant = F.filter(
-        "edges",
-        lambda e: (F.greatest(e["x1"], e["x2"]) >= west)
-        & (F.greatest(e["y1"], e["y2"]) >= south)
-        & (F.least(e["y1"], e["y2"]) <= north),
-    )
-    tiles = tiles.select(
-        F.col("_cx").alias("_px"), F.col("_cy").alias("_py"), relevant.alias("_edges"),
-        *[F.col(b).alias(f"_{b}") for b in ("minx", "miny", "maxx", "maxy")],
-        *[F.col(a).alias(f"_a_{a}") for a in attributes],
-    )
-    tiles = broadcast_if_small(tiles, F.size("_edges"))
+    tiles = materialise(polygon_tiles(polygons, attributes, cell), "polygon-tiles")
+    tiles = broadcast_if_small(tiles, F.coalesce(F.size("_edges"), F.lit(0)) + 1)
     x, y = F.col(lon), F.col(lat)
-    placed = points.withColumns({"_cx": F.floor(x / cell), "_cy": F.floor(y / cell)})
+    index = lambda v: F.floor((v - cell * SHIFT) / cell)
+    placed = points.withColumns({"_cx": index(x), "_cy": index(y)})
+    east, south = (F.col("_px") + 1 + SHIFT) * cell, (F.col("_py") + SHIFT) * cell
     match = (
         (F.col("_cx") == F.col("_px"))
         & (F.col("_cy") == F.col("_py"))
         & x.between(F.col("_minx"), F.col("_maxx"))
         & y.between(F.col("_miny"), F.col("_maxy"))
-        & _contains(x, y, F.col("_edges"))
+        & _contains(x, y, F.col("_edges"), F.col("_odd"), east, south)
     )
     return placed.join(tiles, match, how).select(*points.columns, *[F.col(f"_a_{a}").alias(a) for a in attributes])

@@ -33,22 +33,34 @@ def _box_mean(value: str, line: WindowSpec, size: int) -> Column:
     position, length = F.row_number().over(line), F.count(F.lit(1)).over(whole)
     before = F.greatest(F.lit(half) - position + 1, F.lit(0))
     after = F.greatest(F.lit(half) - (length - position), F.lit(0))
-    inside = F.sum(value).over(line.rowsBetween(-half, half))
-    return (inside + before * F.first(value).over(whole) + after * F.last(value).over(whole)) / size
+    inside = _box_edge(F.sum, value, line, size)
+    beyond = lambda n, end: F.when(n > 0, n * end.over(whole)).otherwise(0.0)
+    return (inside + beyond(before, F.first(value)) + beyond(after, F.last(value))) / size
 
 
 def _box_edge(pick, value: str, line: WindowSpec, size: int) -> Column:
-    return pick(value).over(line.rowsBetween(-(size // 2), size // 2))
+    """Aggregate of a centred box, null where a cell of the box is missing."""
+    box = line.rowsBetween(-(size // 2), size // 2)
+    return F.when(F.count(value).over(box) == F.count(F.lit(1)).over(box), pick(value).over(box))
 
 
 def _gradient(value: str, coordinate: str, line: WindowSpec) -> Column:
-    """Central difference for uneven spacing, one-sided at the ends."""
+    """Central difference for uneven spacing, one-sided at the ends, null beside a missing cell."""
     v, x = F.col(value), F.col(coordinate)
     v0, v2 = F.lag(value).over(line), F.lead(value).over(line)
     back, ahead = x - F.lag(coordinate).over(line), F.lead(coordinate).over(line) - x
     left, right = (v - v0) / back, (v2 - v) / ahead
     centre = (left * ahead + right * back) / (back + ahead)
-    return F.coalesce(centre, left, right)
+    return F.when(back.isNull(), right).when(ahead.isNull(), left).otherwise(centre)
+
+
+def complete_raster(cells: DataFrame) -> DataFrame:
+    """A row for every (lat, lon) pair of the raster's lines; ``_given`` marks those that were there.
+
+    The longitudes are gathered once, as many as a raster line has cells.
+    """
+    lines = cells.select("lat").distinct().withColumn("lon", F.explode(cells.agg(F.collect_set("lon")).scalar()))
+    return lines.join(cells.withColumn("_given", F.lit(True)), ["lat", "lon"], "left").select(*cells.columns, "_given")
 
 
 def terrain(
@@ -60,15 +72,21 @@ def terrain(
     altitude: str = "altitude",
     z_factor: float = 1 / METRES_PER_DEGREE,
     compat_gradient: bool = False,
+    dense: bool = False,
 ) -> DataFrame:
     """Add the requested terrain features.
 
     TPI_w: altitude minus the w x w mean. TDI_w: (max - min) / mean, 0 where
     the mean is 0. slope: degrees. aspect: compass degrees, -1 on flat ground,
-    null on the border. ``compat_gradient`` divides the eastward gradient by
-    the altitude, which some existing tables contain.
+    null on the border. A feature is null where a cell it looks at is missing,
+    be its altitude null or its row absent; ``dense`` promises that no row is
+    absent and saves a shuffle. ``compat_gradient`` divides the eastward
+    gradient by the altitude, which some existing tables contain.
     """
     _check([*tpi_windows, *tdi_windows])
+    given = cells.columns
+    if not dense:
+        cells = complete_raster(cells)
     east = Window.partitionBy("lat").orderBy("lon")
     south = Window.partitionBy("lon").orderBy(F.desc("lat"))
     sizes = sorted({*tpi_windows, *tdi_windows})
@@ -100,8 +118,9 @@ def terrain(
         out["aspect"] = _aspect(altitude)
     out |= {f"TPI_{w}": F.col(altitude) - F.col(f"_mean{w}") for w in tpi_windows}
     spread = {w: F.col(f"_max{w}") - F.col(f"_min{w}") for w in tdi_windows}
-    out |= {f"TDI_{w}": F.coalesce(F.try_divide(spread[w], F.col(f"_mean{w}")), F.lit(0.0)) for w in tdi_windows}
-    return both.select(*cells.columns, *[c.alias(name) for name, c in out.items()])
+    out |= {f"TDI_{w}": F.when(F.col(f"_mean{w}") == 0, 0.0).otherwise(F.try_divide(spread[w], F.col(f"_mean{w}"))) for w in tdi_windows}
+    both = both if dense else both.where("_given")
+    return both.select(*given, *[c.alias(name) for name, c in out.items()])
 
 
 def _aspect(altitude: str) -> Column:
@@ -130,6 +149,8 @@ def terrain_features(
     cells = normalise_longitudes(cells)
     if grid is not None:
         cells = regrid_nearest(cells, grid)
-    out = terrain(cells, tpi_windows, tdi_windows, slope=True, aspect=True, compat_gradient=compat_gradient)
+    out = terrain(
+        cells, tpi_windows, tdi_windows, slope=True, aspect=True, compat_gradient=compat_gradient, dense=grid is not None
+    )
     out = out.withColumns({"longitude": F.col("lon"), "latitude": F.col("lat")})
     return out if points is None else select_points(out, points)

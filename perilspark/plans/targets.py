@@ -172,11 +172,15 @@ def attach_product(
     """Left join of the product value at each station's nearest node and day.
 
     The product is first cut to the period and the stations' nodes, so a large
-    product is scanned and filtered, not shuffled.
+    product is scanned and filtered, not shuffled. Its coordinates may carry
+    noise (stored as float, say) of up to a hundredth of a grid step.
     """
     nodes = match_to_grid(series, grid, "lon", "lat", "_plon", "_plat")
     wanted = match_to_grid(stations, grid, "lon", "lat").select("lon", "lat")
-    cut = select_points(product.where(calendar.between("time")).select("lon", "lat", "time", value), wanted)
+    exact = product.where(calendar.between("time")).select(F.col("lon").cast("double"), F.col("lat").cast("double"), "time", value)
+    node_lon, node_lat = grid.nearest("lon", "lat")
+    near = (F.greatest(F.abs(F.col("lon") - node_lon), F.abs(F.col("lat") - node_lat)) * grid.nodes_per_degree) < 0.01
+    cut = select_points(exact.where(near).withColumns({"lon": node_lon, "lat": node_lat}), wanted)
     cut = cut.select(F.col("lon").alias("_plon"), F.col("lat").alias("_plat"), "time", F.col(value).alias(name))
     return nodes.join(cut, ["_plon", "_plat", "time"], "left").drop("_plon", "_plat")
 

@@ -20,7 +20,7 @@ from perilspark.operators.grid import (
     total_bounds,
 )
 from perilspark.operators.nearest import nearest_points
-from perilspark.operators.spatial import area_of_interest, box_polygon, polygon_join, polygons_from_rings
+from perilspark.operators.spatial import area_of_interest, box_polygon, polygon_join, polygon_tiles, polygons_from_rings
 from perilspark.operators.terrain import terrain, terrain_features
 
 
@@ -127,6 +127,18 @@ def test_polygons_equal_ray_test(spark, shapes, monkeypatch, broadcast):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_ring_of_many_edges(spark):
+    turn = np.linspace(0, 2 * np.pi, 2000, endpoint=False)
+    reach = 1 + 0.2 * np.sin(37 * turn)
+    ring = np.stack([25 * reach * np.cos(turn), 16 * reach * np.sin(turn)], axis=1).round(6).tolist()
+    shapes = polygons_from_rings(spark, ["name"], [("wave", ring), ("wave", ring)])
+    pts = np.random.default_rng(6).uniform([-32, -21], [32, 21], (400, 2)).round(4)
+    got = sorted(map(tuple, polygon_join(points(spark, pts), shapes, ["name"]).collect()))
+    want = sorted((float(x), float(y), "wave") for x, y in pts if brute.inside(x, y, ring))
+    assert got == sorted(want * 2)
+    assert polygon_tiles(shapes, ["name"]).agg(F.sum(F.size("_edges"))).first()[0] < 4 * 2000 * 2
+
+
 def test_polygon_border_rule_and_left_join(spark, shapes):
     df = points(spark, [(0, 0), (4, 1), (0, 1), (1, 4), (1.5, 1.5), (50, 50)])
     got = sorted((r["lon"], r["lat"], r["name"] or "") for r in polygon_join(df, shapes, ["name"], "left").collect())
@@ -175,6 +187,22 @@ def test_box_features_equal_brute_force(spark, shape):
     np.testing.assert_allclose(grid_of(out, "TDI_5", shape), spread, atol=1e-9)
 
 
+@pytest.mark.parametrize("absent", [True, False])
+def test_terrain_beside_a_missing_cell(spark, absent):
+    z = np.full((5, 6), 7.0)
+    z[2, 2] = np.nan
+    gap = F.isnan("altitude")
+    cells = raster(spark, z)
+    cells = cells.where(~gap) if absent else cells.withColumn("altitude", F.when(~gap, F.col("altitude")))
+    out = terrain(cells, tpi_windows=(3,), tdi_windows=(3,), slope=True, aspect=True).orderBy(F.desc("lat"), "lon").collect()
+    assert len(out) == 29 + (not absent)
+    near = [r for r in out if r["TPI_3"] is None]
+    assert len(near) == 8 + (not absent) and all(r["TDI_3"] is None for r in near)
+    assert all(r["aspect"] is None for r in near if r["altitude"] is not None)  # it does not look at its own cell
+    assert all(r["TPI_3"] == 0 and r["TDI_3"] == 0 for r in out if r not in near)
+    assert sum(r["slope"] is None for r in out) == 4 + (not absent)
+
+
 def test_zero_mean_box_and_even_window(spark):
     z = np.array([[1.0, -1.0, 0.0]] * 3)
     out = terrain(raster(spark, z), tdi_windows=(3,))
