@@ -159,3 +159,9 @@ def test_clusters(spark):
     for r in out:
         groups.setdefault(r["cluster"], set()).add(r["station_id"] % 3)
     assert len(out) == 30 and len(groups) == 3 and all(len(g) == 1 for g in groups.values())
+
+
+def test_more_levels_than_the_least_bins(spark):
+    rows = spark.range(600).selectExpr("cast(id % 100 as string) as kind", "cast(id as double) as x", "cast(id % 2 as int) as y")
+    model = L.fit_learner(rows, "y", ["x"], ["kind"], "xgbc", {"n_estimators": 1, "max_depth": 2})
+    assert model.score(rows).where("prob_class_1 is not null").count() == 600
