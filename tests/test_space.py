@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from perilspark.functions.temporal import Calendar
 from perilspark.operators import columns as C
 from perilspark.operators import joins
 from perilspark.operators.grid import (
@@ -22,6 +23,7 @@ from perilspark.operators.grid import (
 from perilspark.operators.nearest import nearest_points
 from perilspark.operators.spatial import area_of_interest, box_polygon, polygon_join, polygon_tiles, polygons_from_rings
 from perilspark.operators.terrain import terrain, terrain_features
+from perilspark.plans.targets import attach_product
 
 
 def points(spark, rows, names="lon double, lat double"):
@@ -259,3 +261,12 @@ def test_column_rules(spark):
     with pytest.warns(UserWarning):
         assert dict(C.as_categories(df, ["v", "absent"]).dtypes)["v"] == "string"
     assert C.find_coordinates(spark.createDataFrame([(1, 2)], "X int, valid_time int")) == {"lon": "X", "lat": None, "time": "valid_time"}
+
+
+def test_product_coordinates_stored_as_float(spark):
+    grid = GridSpec(-69.6, -10.0, 10, 10, 10)
+    days = Calendar("2000-01-01", "2000-01-02")
+    stations = spark.sql("select 1 as station_id, -69.31D as lon, -10.28D as lat, date'2000-01-01' as time")
+    product = spark.sql("select cast(-69.3 as float) as lon, cast(-10.3 as float) as lat, date'2000-01-01' as time, 5D as v union all select cast(-69.25 as float), cast(-10.3 as float), date'2000-01-01', 9D")
+    out = attach_product(stations, stations, product, grid, "v", "product", days).collect()
+    assert [r["product"] for r in out] == [5.0]
