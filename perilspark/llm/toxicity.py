@@ -218,16 +218,19 @@ def count_words(rows: DataFrame) -> DataFrame:
     """For every folded piece of a word, the toxic and the clean documents that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[bytes, list[bytes]] = {}
         for batch in batches:
             labels = batch.column("y").to_numpy()
             for first, texts in byte_batches(batch, "body"):
                 counts = [Counter(), Counter()]
-                memo: dict[bytes, list[bytes]] = {}
+                if len(memo) > 400_000:
+                    memo = {}
                 for i, text in enumerate(texts):
                     words = set(text.split())
-                    for w in words - memo.keys():
-                        memo[w] = pieces(folded(w))
-                    counts[labels[first + i]].update({p for w in words for p in memo[w] if len(p) >= P})
+                    for w in words:
+                        if w not in memo:
+                            memo[w] = [p for p in pieces(folded(w)) if len(p) >= P]
+                    counts[labels[first + i]].update({p for w in words for p in memo[w]})
                 names = list(counts[0].keys() | counts[1].keys())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([n.decode() for n in names], pa.string()), pa.array([counts[1][n] for n in names], pa.int64()), pa.array([counts[0][n] for n in names], pa.int64())],
@@ -241,17 +244,20 @@ def count_contexts(rows: DataFrame, candidates: set[bytes]) -> DataFrame:
     """For every candidate the number of different (word before, word after) it has in toxic and in clean documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[bytes, list[bytes]] = {}
+        memo: dict[bytes, tuple[bytes, ...]] = {}
         for batch in batches:
             labels = batch.column("y").to_numpy()
             for first, texts in byte_batches(batch, "body"):
                 seen = set()
+                if len(memo) > 400_000:
+                    memo = {}
                 for y, text in zip(labels[first:].tolist(), texts):
                     words = text.split()
-                    for w in set(words) - memo.keys():
-                        memo[w] = [p for p in pieces(folded(w)) if p in candidates]
-                    for i, w in enumerate(words):
-                        for p in memo[w]:
+                    for w in set(words):
+                        if w not in memo:
+                            memo[w] = tuple(p for p in pieces(folded(w)) if p in candidates)
+                    for i, own in enumerate(map(memo.__getitem__, words)):
+                        for p in own:
                             around = (words[i - 1] if i else b"") + b" " + (words[i + 1] if i + 1 < len(words) else b"")
                             seen.add((p, xxhash.xxh64_intdigest(around) >> 1, y))
                 columns = [pa.array([w.decode() for w, _, _ in seen], pa.string()), pa.array([c for _, c, _ in seen], pa.int64()), pa.array([y for _, _, y in seen], pa.int32())]
