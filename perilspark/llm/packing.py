@@ -60,7 +60,7 @@ class Tokens:
             low = w.lower()
             stem, tail = low[:-1], low[-1:]
             parts[w] = (stem, tail) if tail in (b",", b".") and stem.decode("utf-8", "replace").isalpha() else (low, b"")
-        self.encode(list({x for pair in parts.values() for x in pair if x} - self.known.keys()))
+        self.encode([x for x in {x for pair in parts.values() for x in pair if x} if x not in self.known])
         for w, (stem, tail) in parts.items():
             self.known[w] = self.known[stem] + (self.known[tail] if tail else b"")
 
@@ -85,9 +85,9 @@ class Tokens:
         split = [x.split() for x in texts]
         if len(self.known) > KEPT_WORDS:
             self.known = {}
-        new = {w for x in split for w in x} - self.known.keys()
+        new = [w for w in {w for x in split for w in x} if w not in self.known]
         if new:
-            self.learn(list(new))
+            self.learn(new)
         end = np.array([END_ID], self.kind).tobytes()
         return [b"".join([self.known[w] for w in x]) + end for x in split]
 
