@@ -23,7 +23,7 @@ class WordMemo:
         """Codes of words, and the columns that they index."""
         if len(self.codes) > self.limit:
             self.codes, self.columns = {}, []
-        new = list(set(words) - self.codes.keys())
+        new = [w for w in set(words) if w not in self.codes]
         used = len(self.codes)
         if new or not self.columns:
             described = self.describe(new)
