@@ -69,9 +69,11 @@ class Tokens:
         plain = [w for w in words if b"<|" not in w]
         for w in odd:
             self.known[w] = np.array(self.plain.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, self.kind).tobytes()
-        for first in range(0, len(plain), 5000):
-            part = plain[first : first + 5000]
-            ids = np.array(self.fast.encode(_SPECIAL.join(w.decode("utf-8", "replace") for w in part), add_special_tokens=False).ids, np.int64)
+        for first in range(0, len(plain), 1000):
+            part = plain[first : first + 1000]
+            joined = _SPECIAL.join(w.decode("utf-8", "replace") for w in part)
+            # The fast form leaves out offsets; a batch of one starts no threads.
+            ids = np.array(self.fast.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int64)
             cuts = np.flatnonzero(ids == self.separator)
             if len(cuts) != len(part) - 1:
                 raise ValueError("the tokenizer took a word for a separator")
