@@ -120,7 +120,7 @@ def anomaly_stored(spark, folder):
     """Daily path: first run per day against normals of the training years."""
     leads, cell = forecast_feature_input(lead_table(spark, folder).withColumnRenamed("price", "t2m"), "t2m", [2, 3], ["cell"])
     normals = weekly_climatology(leads, ["t2m"], cell, smooth=2)
-    fresh = first_per_key(leads.where(F.year("time") == 2000), [*cell, "time"], ["t2m"])
+    fresh = first_per_key(leads, [*cell, "time"], ["t2m"])
     out = anomaly_from_stored(fresh, normals, ["t2m"], cell)
     return rounded(out, 6, "anom_t2m").select("cell", "step", "time", "t2m", "anom_t2m")
 
@@ -135,9 +135,8 @@ def raw_anomalies(spark, folder):
 
 
 def multi_variable_anomaly(spark, folder):
-    both = lead_table(spark, folder).where(F.col("step") == 1).drop("step")
-    features, _ = anomaly_features(both, ["price", "quantity"], ["cell"], smooth=2)
-    return rounded(features, 6, "anom_price", "anom_quantity").select("cell", "time", "anom_price", "anom_quantity")
+    features, _ = anomaly_features(lead_table(spark, folder), ["price", "quantity"], ["cell", "step"], smooth=2)
+    return rounded(features, 6, "anom_price", "anom_quantity").select("cell", "step", "time", "anom_price", "anom_quantity")
 
 
 def climatology_lookup(spark, folder):
@@ -293,15 +292,15 @@ ORACLES = {
         select s.cell, s.step, s.time, s.t2m, {_anomaly_sql('src', ['t2m'], ['cell', 'step'])}""",
     "anomaly_stored": f"""
         with {_lead_input('2, 3')}, {weekly_sql('src', ['t2m'], ['cell', 'step'], 2)}
-        select s.cell, s.step, s.time, s.t2m, {_anomaly_sql('src', ['t2m'], ['cell', 'step'])} where year(s.time) = 2000""",
+        select s.cell, s.step, s.time, s.t2m, {_anomaly_sql('src', ['t2m'], ['cell', 'step'])}""",
     "raw_anomaly": f"""
         with {_RAIN}, {weekly_sql('rain', ['price_cum'], ['cell'], 1)}
         select r.cell, r.time, round(r.price_cum, 4) as price_cum, round(c.clim_price_cum, 4) as clim_price_cum,
                round(r.price_cum - c.clim_price_cum, 4) as anom_price_cum
         from rain r left join normals c on r.cell = c.cell and c.week = weekofyear(r.time)""",
     "multi_variable_anomaly": f"""
-        with src as (select * from ({LEADS}) where step = 1), {weekly_sql('src', ['price', 'quantity'], ['cell'], 2)}
-        select s.cell, s.time, {_anomaly_sql('src', ['price', 'quantity'], ['cell'])}""",
+        with src as ({LEADS}), {weekly_sql('src', ['price', 'quantity'], ['cell', 'step'], 2)}
+        select s.cell, s.step, s.time, {_anomaly_sql('src', ['price', 'quantity'], ['cell', 'step'])}""",
     "lead_accumulate": f"""
         with leads as ({LEADS}),
         d as (select cell, cast(time + interval 2 day as date) as time,
