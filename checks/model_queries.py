@@ -29,7 +29,8 @@ from perilspark.plans.master import FeatureSet, align_features, at_stations, inf
 
 from . import lat_sql, lon_sql, point_lat, point_lon, rounded, table
 
-SEASON = Calendar("1998-01-01", "1998-03-31")
+#: All seasons of the given tables; their first day is 1995-01-01, their last 2001-11-04.
+SEASON = Calendar("1995-01-01", "2001-12-31")
 GRID = GridSpec.from_bounds(-69.6, -14.7, -65.0, -9.9, 3)
 SOURCE_GRID = GridSpec(-69.6, -10, 10, 10, 2)
 STEPS = [2, 3, 4]
@@ -73,6 +74,7 @@ def aligned(spark, folder):
 
 
 def master_predict(spark, folder):
+    """One forecast day, as the daily run has it; ``align_features`` is the same plan over all days."""
     day = Calendar("1998-02-10", "1998-02-10")
     return _shown(inference_table(feature_sets(spark, folder), GRID, day, STEPS))
 
