@@ -4,8 +4,11 @@ The probability of a word is that of its class given the words before, times tha
 class model is log-linear: hashed features of the history (the word before, the two before as a pair, and skips to the
 second and third before) each have a row of one weight a class, and the softmax runs over the classes. It is trained by
 distributed gradient updates: every task makes minibatch steps on its documents from the common weights, weighted means of
-the tasks' weights are the next ones. Within a class a word's probability is its discounted share of the class's tokens, and
-the discounts are the share of words never seen.
+the tasks' weights are the next ones. From these common weights, of a fixed width, every block of histories goes on with a wider
+table of its own: a token belongs to the block of the pair before it, blocks hold ``BLOCK_TOKENS`` training tokens on average, so the
+number of weights grows with the training tokens. Blocks are trained and applied where their tokens meet, crowded blocks in parts,
+and no task holds more than one block's table. Within a class a word's probability does not depend on the history: it is its
+discounted share of the class's tokens, and the discounts are the share of words never seen.
 
 Counts of tokens cover all training documents. The ``HEAD`` most frequent words are scored where they stand, with a table of
 bounded size; every other word of every document is joined with the counts. No rare word is frequent enough to be a hot key.
@@ -30,6 +33,12 @@ from perilspark.session import materialise
 END = b"\n"
 #: Frequent words that each task holds, and bits of the feature hash.
 HEAD, BITS = 131_072, 13
+#: Training tokens of a block of histories on average, bits of its feature hash, and tokens that a task takes of one block.
+BLOCK_TOKENS, BLOCK_BITS, PART_TOKENS = 1 << 20, 16, 1 << 21
+#: A token between tasks: its rows in the table of its block, its class, its document (for scoring).
+TOKEN = np.dtype([("at", "<u2", 4), ("cls", "u1"), ("row", "<i8")])
+#: A token of a stored document.
+STEP = np.dtype([("at", "<u2", 4), ("cls", "u1"), ("block", "<u4")])
 #: Tokens that a task counts before it passes sums on.
 COUNTED = 4_000_000
 #: Parts of the training documents that are gone through in turn, tokens of a step, and its rate.
@@ -122,7 +131,7 @@ class Vocabulary:
 
 
 def histories(counts: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Feature rows of every token: word before, pair before, second before, third before; fixed ones at a text's start."""
+    """Hashed features of every token: word before, pair before, second before, third before; fixed ones at a text's start."""
     place = np.arange(len(names)) - np.repeat(starts_of(counts)[:-1], counts)
     before = []
     for k in (1, 2, 3):
@@ -131,8 +140,46 @@ def histories(counts: np.ndarray, names: np.ndarray) -> np.ndarray:
         x[place < k] = k
         before.append(x)
     one, two, three = before
-    salted = [mix(one + np.uint64(1)), mix(mix(one + np.uint64(2)) + two), mix(two + np.uint64(3)), mix(three + np.uint64(4))]
-    return np.stack([(x >> np.uint64(64 - BITS)).astype(np.int64) for x in salted])
+    return np.stack([mix(one + np.uint64(1)), mix(mix(one + np.uint64(2)) + two), mix(two + np.uint64(3)), mix(three + np.uint64(4))])
+
+
+def rows_of(hashed: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Rows of features in a table of so many bits; those of a wider table split those of a narrower one."""
+    return (hashed >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def blocks_of(hashed: np.ndarray, blocks: int) -> np.ndarray:
+    """Block of every token, by other bits of the pair before it than those of its row."""
+    return ((hashed[1] & np.uint64(0xFFFFFFFF)) % np.uint64(blocks)).astype(np.int64)
+
+
+def widened(weights: np.ndarray) -> np.ndarray:
+    """The common weights as a block's table to start from."""
+    return np.concatenate([np.repeat(weights[:-1], 1 << (BLOCK_BITS - BITS), axis=0), weights[-1:]])
+
+
+def dealt(tokens: np.ndarray, block: np.ndarray, parts: np.ndarray, order: int) -> pa.RecordBatch:
+    """Tokens as one record a block; ``order`` chooses the part of a crowded block and fixes the order within it."""
+    by = np.argsort(block, kind="stable")
+    block = block[by]
+    first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
+    offsets = (np.append(first, len(block)) * tokens.itemsize).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(tokens[by].tobytes())])
+    own = block[first]
+    part = (np.uint64(order) % parts[own].astype(np.uint64)).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(own.astype(np.int32)), pa.array(part), pa.array(np.full(len(own), order >> 1, np.int64)), pa.array([] if not len(own) else packed, pa.binary())],
+        ["block", "part", "place", "tokens"],
+    )
+
+
+def dealt_tokens(table: pa.Table) -> np.ndarray:
+    """The tokens of a group, in an order that does not depend on how they came."""
+    table = table.sort_by([("place", "ascending"), ("tokens", "ascending")])
+    return np.frombuffer(b"".join(table.column("tokens").to_pylist()), TOKEN)
+
+
+_DEALT = "block int, part int, place long, tokens binary"
 
 
 def log_softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -164,22 +211,30 @@ def steps(weights: np.ndarray, squares: np.ndarray, features: np.ndarray, classe
             weights[at] -= RATE * gradient / np.sqrt(squares[at] + 1e-2)
 
 
-def train_classes(rows: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """Weights of the class model: ``ROUNDS`` parts of the documents, each gone through once from the mean of the last."""
+def train_classes(rows: DataFrame, vocabulary: Vocabulary, n_blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Common weights of the class model: ``ROUNDS`` parts of the documents, each gone through once from the mean of the last.
+
+    Also each block's share of the tokens.
+    """
+    shares = np.zeros(n_blocks)
     weights = np.zeros(((1 << BITS) + 1, CLASSES), np.float32)
     blocks = 16
 
     def one_round(weights: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             corpus, own, squares, seen = corpus_of_worker(), weights.copy(), np.zeros_like(weights), 0
+            crowd = np.zeros(n_blocks)
             for batch in batches:
                 for _, texts in byte_batches(batch, "body"):
                     counts, names, kinds = corpus(texts)
-                    steps(own, squares, histories(counts, names), vocabulary.find(names, kinds)[1])
+                    hashed = histories(counts, names)
+                    crowd += np.bincount(blocks_of(hashed, n_blocks), minlength=n_blocks)
+                    steps(own, squares, rows_of(hashed), vocabulary.find(names, kinds)[1])
                     seen += len(names)
             if seen:
                 parts = [(x * np.float32(seen)).astype(np.float32).tobytes() for x in np.array_split(own, blocks)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(blocks), pa.int32()), pa.array([seen] * blocks, pa.int64()), pa.array(parts, pa.binary())], ["block", "seen", "weights"])
+                parts.append(crowd.astype(np.float32).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(range(blocks + 1), pa.int32()), pa.array([seen] * (blocks + 1), pa.int64()), pa.array(parts, pa.binary())], ["block", "seen", "weights"])
 
         return run
 
@@ -195,8 +250,70 @@ def train_classes(rows: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
         sent = part.mapInArrow(one_round(weights), "block int, seen long, weights binary")
         found = sent.groupBy("block").applyInArrow(mean, "block int, weights binary").collect()
         if found:
-            weights = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(found, key=lambda r: r["block"])]).reshape(weights.shape)
-    return weights
+            *means, share = (np.frombuffer(r["weights"], np.float32) for r in sorted(found, key=lambda r: r["block"]))
+            weights, shares = np.concatenate(means).reshape(weights.shape), np.maximum(shares, share)
+    return weights, shares
+
+
+def train_blocks(rows: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """``block`` and its ``weights``, trained on all tokens of the block from the common ones; means of a crowded block's parts."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        corpus = corpus_of_worker()
+        for batch in batches:
+            for _, texts in byte_batches(batch, "body"):
+                counts, names, kinds = corpus(texts)
+                hashed = histories(counts, names)
+                tokens = np.zeros(len(names), TOKEN)
+                tokens["at"], tokens["cls"] = rows_of(hashed, BLOCK_BITS).T, vocabulary.find(names, kinds)[1]
+                yield dealt(tokens, blocks_of(hashed, len(parts)), parts, xxhash.xxh64_intdigest(texts[0]))
+
+    def learn(key: tuple, table: pa.Table) -> pa.Table:
+        tokens, own = dealt_tokens(table), widened(weights)
+        steps(own, np.zeros_like(own), tokens["at"].T.astype(np.int64), tokens["cls"].astype(np.int64))
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "seen": pa.array([len(tokens)], pa.int64()), "weights": pa.array([own.tobytes()], pa.binary())})
+
+    def mean(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = 0.0, 0
+        for batch in batches:
+            for n, packed in zip(batch.column("seen").to_pylist(), batch.column("weights")):
+                total, seen = total + np.frombuffer(packed.as_buffer(), np.float32) * float(n), seen + n
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["block", "weights"])
+
+    learnt = rows.select("body").mapInArrow(deal, _DEALT).groupBy("block", "part").applyInArrow(learn, "block int, seen long, weights binary")
+    return materialise(learnt.groupBy("block").applyInArrow(mean, "block int, weights binary"), "block-weights")
+
+
+def class_scores(scored: DataFrame, blocks: DataFrame, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """``row`` and ``model_c``, the log10 probability of its classes, of rows with stored tokens (``path``)."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("row").to_numpy()
+            for first, paths in byte_batches(batch, "path"):
+                body = b"".join(paths)
+                found = np.frombuffer(body, STEP)
+                tokens = np.zeros(len(found), TOKEN)
+                tokens["at"], tokens["cls"] = found["at"], found["cls"]
+                tokens["row"] = np.repeat(ids[first : first + len(paths)], [len(x) // STEP.itemsize for x in paths])
+                yield dealt(tokens, found["block"].astype(np.int64), parts, xxhash.xxh64_intdigest(body))
+
+    def apply(table: pa.Table, own: pa.Table) -> pa.Table:
+        tokens = dealt_tokens(table) if table.num_rows else np.zeros(0, TOKEN)
+        # A block without training tokens has the common weights.
+        known = np.frombuffer(own.column("weights")[0].as_buffer(), np.float32).reshape(-1, CLASSES) if own.num_rows else widened(weights)
+        value = np.empty(len(tokens))
+        for i in range(0, len(tokens), STEP_TOKENS):
+            some = tokens[i : i + STEP_TOKENS]
+            value[i : i + STEP_TOKENS] = log_softmax(known, some["at"].T.astype(np.int64))[np.arange(len(some)), some["cls"]]
+        row, at = np.unique(tokens["row"], return_inverse=True)
+        return pa.table({"row": pa.array(row, pa.int64()), "model_c": pa.array(np.bincount(at, value, len(row)) / np.log(10), pa.float64())})
+
+    spark = scored.sparkSession
+    copies = spark.createDataFrame([(b, p) for b, n in enumerate(parts.tolist()) for p in range(n)], "block int, part int")
+    known = copies.join(blocks, "block").groupBy("block", "part")
+    found = scored.select("row", "path").mapInArrow(deal, _DEALT).groupBy("block", "part").cogroup(known)
+    return found.applyInArrow(apply, "row long, model_c double").groupBy("row").agg(F.sum("model_c").alias("model_c"))
 
 
 def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -225,7 +342,10 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
     head = counts.where(in_head).toPandas()
     rare = {r["kind"]: (r["n"], r["words"]) for r in counts.where(~in_head).groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
     vocabulary = Vocabulary(head["name"].to_numpy(np.int64), head["n"].to_numpy(np.int64), head["kind"].to_numpy(np.int64), rare, total, words, discount)
-    weights = train_classes(training, vocabulary)
+    n_blocks = max(1, -(-int(total) // BLOCK_TOKENS))
+    weights, shares = train_classes(training, vocabulary, n_blocks)
+    parts = np.maximum(np.ceil(shares * total / PART_TOKENS), 1).astype(np.int64)
+    blocks = train_blocks(training, vocabulary, weights, parts)
     spread = float(total + words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,11 +354,11 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
             for first, texts in byte_batches(batch, "body"):
                 sizes, names, kinds = corpus(texts)
                 at, classes = vocabulary.find(names, kinds)
-                log_class = np.empty(len(names))
-                features = histories(sizes, names)
-                for i in range(0, len(names), STEP_TOKENS):
-                    part = log_softmax(weights, features[:, i : i + STEP_TOKENS])
-                    log_class[i : i + STEP_TOKENS] = part[np.arange(len(part)), classes[i : i + STEP_TOKENS]]
+                hashed = histories(sizes, names)
+                path = np.empty(len(names), STEP)
+                path["at"], path["cls"], path["block"] = rows_of(hashed, BLOCK_BITS).T, classes, blocks_of(hashed, n_blocks)
+                path_offsets = (starts_of(sizes) * STEP.itemsize).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(path_offsets.tobytes()), pa.py_buffer(path.tobytes())])
                 hit = at >= 0
                 own = np.where(hit, at, 0)
                 base = np.where(hit, np.log10((vocabulary.counts[own] + 1) / spread), 0) if len(vocabulary.counts) else np.zeros(len(names))
@@ -250,17 +370,20 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
                 times = np.diff(np.append(cut, len(other)))
                 offsets = starts_of(np.bincount(text_of[cut], minlength=len(texts))).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (other[cut], kind[cut].astype(np.int32), times.astype(np.int64))]
-                sums = [sum_by_row(x, sizes) for x in (hit, base, within + log_class / np.log(10))]
+                sums = [sum_by_row(x, sizes) for x in (hit, base, within)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(sizes), pa.array(sums[0].round().astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), *lists],
-                    ["id", "n_tokens", "known", "base", "model", "names", "kinds", "times"],
+                    [batch.column(0).slice(first, len(texts)), pa.array(sizes), pa.array(sums[0].round().astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), packed, *lists],
+                    ["id", "n_tokens", "known", "base", "model", "path", "names", "kinds", "times"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
     scored = rows.select("id", "body").mapInArrow(
-        run, f"id {kind}, n_tokens long, known long, base double, model double, names array<long>, kinds array<int>, times array<long>"
+        run, f"id {kind}, n_tokens long, known long, base double, model double, path binary, names array<long>, kinds array<int>, times array<long>"
     )
     scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    all_tokens = scored.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    parts = np.maximum(np.ceil(shares * all_tokens / PART_TOKENS), 1).astype(np.int64)
+    class_sums = class_scores(scored, blocks, weights, parts)
     others = scored.select("row", F.explode(F.arrays_zip("names", "kinds", "times")).alias("t")).select("row", "t.names", "t.kinds", "t.times")
     others = others.join(counts.where(~in_head).select(F.col("name").alias("names"), "n"), "names", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     seen = F.lit(None).cast("double")
@@ -277,8 +400,8 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
         F.sum(F.col("times") * model).alias("model_o"),
     )
     zero = lambda c, o: F.col(c) + F.coalesce(o, F.lit(0))
-    out = scored.select("row", "id", "n_tokens", "known", "base", "model").join(sums, "row", "left")
+    out = scored.select("row", "id", "n_tokens", "known", "base", "model").join(sums, "row", "left").join(class_sums, "row", "left")
     return out.select(
         F.col("id").alias(key), "n_tokens", zero("known", "known_o").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        zero("base", "base_o").alias("base_score"), zero("model", "model_o").alias("score"),
+        zero("base", "base_o").alias("base_score"), (zero("model", "model_o") + F.coalesce(F.col("model_c"), F.lit(0.0))).alias("score"),
     )
