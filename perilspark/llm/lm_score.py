@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilspark.llm.common import as_bytes, byte_batches, mix, starts_of, sum_by_row
+from perilspark.llm.simhash_dedup import CLEANUP
 from perilspark.llm.words import WordMemo
 from perilspark.session import materialise
 
@@ -35,7 +36,8 @@ END = b"\n"
 HEAD, BITS = 131_072, 13
 #: Training tokens of a block of histories on average, bits of its feature hash, and tokens that a task takes of one block.
 BLOCK_TOKENS, BLOCK_BITS, PART_TOKENS = 1 << 20, 16, 1 << 21
-#: A token between tasks: its rows in the table of its block, its class, its document (for scoring).
+#: A training token between tasks, its rows in the table of its block and its class; a token to score also has its document.
+LEARNT = np.dtype([("at", "<u2", 4), ("cls", "u1")])
 TOKEN = np.dtype([("at", "<u2", 4), ("cls", "u1"), ("row", "<i8")])
 #: A token of a stored document.
 STEP = np.dtype([("at", "<u2", 4), ("cls", "u1"), ("block", "<u4")])
@@ -173,10 +175,10 @@ def dealt(tokens: np.ndarray, block: np.ndarray, parts: np.ndarray, order: int)
     )
 
 
-def dealt_tokens(table: pa.Table) -> np.ndarray:
+def dealt_tokens(table: pa.Table, kind: np.dtype) -> np.ndarray:
     """The tokens of a group, in an order that does not depend on how they came."""
     table = table.sort_by([("place", "ascending"), ("tokens", "ascending")])
-    return np.frombuffer(b"".join(table.column("tokens").to_pylist()), TOKEN)
+    return np.frombuffer(b"".join(table.column("tokens").to_pylist()), kind)
 
 
 _DEALT = "block int, part int, place long, tokens binary"
@@ -256,7 +258,7 @@ def train_classes(rows: DataFrame, vocabulary: Vocabulary, n_blocks: int) -> tup
 
 
 def train_blocks(rows: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
-    """``block`` and its ``weights``, trained on all tokens of the block from the common ones; means of a crowded block's parts."""
+    """``block`` and its ``weights`` (half floats), trained on all tokens of the block from the common ones; means of a crowded block's parts."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus = corpus_of_worker()
@@ -264,24 +266,30 @@ def train_blocks(rows: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, p
             for _, texts in byte_batches(batch, "body"):
                 counts, names, kinds = corpus(texts)
                 hashed = histories(counts, names)
-                tokens = np.zeros(len(names), TOKEN)
+                tokens = np.zeros(len(names), LEARNT)
                 tokens["at"], tokens["cls"] = rows_of(hashed, BLOCK_BITS).T, vocabulary.find(names, kinds)[1]
                 yield dealt(tokens, blocks_of(hashed, len(parts)), parts, xxhash.xxh64_intdigest(texts[0]))
 
     def learn(key: tuple, table: pa.Table) -> pa.Table:
-        tokens, own = dealt_tokens(table), widened(weights)
+        tokens, own = dealt_tokens(table, LEARNT), widened(weights)
         steps(own, np.zeros_like(own), tokens["at"].T.astype(np.int64), tokens["cls"].astype(np.int64))
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "seen": pa.array([len(tokens)], pa.int64()), "weights": pa.array([own.tobytes()], pa.binary())})
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "seen": pa.array([len(tokens)], pa.int64()), "weights": pa.array([own.astype(np.float16).tobytes()], pa.binary())})
 
     def mean(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = 0.0, 0
         for batch in batches:
             for n, packed in zip(batch.column("seen").to_pylist(), batch.column("weights")):
-                total, seen = total + np.frombuffer(packed.as_buffer(), np.float32) * float(n), seen + n
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["block", "weights"])
+                total, seen = total + np.frombuffer(packed.as_buffer(), np.float16).astype(np.float64) * n, seen + n
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / seen).astype(np.float16).tobytes()], pa.binary())], ["block", "weights"])
 
     learnt = rows.select("body").mapInArrow(deal, _DEALT).groupBy("block", "part").applyInArrow(learn, "block int, seen long, weights binary")
-    return materialise(learnt.groupBy("block").applyInArrow(mean, "block int, weights binary"), "block-weights")
+    spark = rows.sparkSession
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return materialise(learnt.groupBy("block").applyInArrow(mean, "block int, weights binary"), "block-weights")
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
 def class_scores(scored: DataFrame, blocks: DataFrame, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
@@ -299,9 +307,9 @@ def class_scores(scored: DataFrame, blocks: DataFrame, weights: np.ndarray, part
                 yield dealt(tokens, found["block"].astype(np.int64), parts, xxhash.xxh64_intdigest(body))
 
     def apply(table: pa.Table, own: pa.Table) -> pa.Table:
-        tokens = dealt_tokens(table) if table.num_rows else np.zeros(0, TOKEN)
+        tokens = dealt_tokens(table, TOKEN) if table.num_rows else np.zeros(0, TOKEN)
         # A block without training tokens has the common weights.
-        known = np.frombuffer(own.column("weights")[0].as_buffer(), np.float32).reshape(-1, CLASSES) if own.num_rows else widened(weights)
+        known = np.frombuffer(own.column("weights")[0].as_buffer(), np.float16).astype(np.float32).reshape(-1, CLASSES) if own.num_rows else widened(weights)
         value = np.empty(len(tokens))
         for i in range(0, len(tokens), STEP_TOKENS):
             some = tokens[i : i + STEP_TOKENS]

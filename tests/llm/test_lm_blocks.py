@@ -19,7 +19,7 @@ def test_scores_of_blocks(spark, monkeypatch):
 
     def kept(training, vocabulary, weights, parts):
         found = plain(training, vocabulary, weights, parts)
-        held.update(vocabulary=vocabulary, n=len(parts), weights={r["block"]: np.frombuffer(r["weights"], np.float32).reshape(-1, lm_score.CLASSES) for r in found.collect()})
+        held.update(vocabulary=vocabulary, n=len(parts), weights={r["block"]: np.frombuffer(r["weights"], np.float16).astype(np.float32).reshape(-1, lm_score.CLASSES) for r in found.collect()})
         return found
 
     monkeypatch.setattr(lm_score, "train_blocks", kept)
