@@ -257,6 +257,17 @@ def train_classes(rows: DataFrame, vocabulary: Vocabulary, n_blocks: int) -> tup
     return weights, shares
 
 
+def without_shuffles(df: DataFrame, name: str) -> DataFrame:
+    """A table in the shared folder, whose shuffles are dropped once it is written."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return materialise(df, name)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def train_blocks(rows: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
     """``block`` and its ``weights`` (half floats), trained on all tokens of the block from the common ones; means of a crowded block's parts."""
 
@@ -283,13 +294,7 @@ def train_blocks(rows: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, p
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / seen).astype(np.float16).tobytes()], pa.binary())], ["block", "weights"])
 
     learnt = rows.select("body").mapInArrow(deal, _DEALT).groupBy("block", "part").applyInArrow(learn, "block int, seen long, weights binary")
-    spark = rows.sparkSession
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        return materialise(learnt.groupBy("block").applyInArrow(mean, "block int, weights binary"), "block-weights")
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return without_shuffles(learnt.groupBy("block").applyInArrow(mean, "block int, weights binary"), "block-weights")
 
 
 def class_scores(scored: DataFrame, blocks: DataFrame, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
@@ -321,7 +326,8 @@ def class_scores(scored: DataFrame, blocks: DataFrame, weights: np.ndarray, part
     copies = spark.createDataFrame([(b, p) for b, n in enumerate(parts.tolist()) for p in range(n)], "block int, part int")
     known = copies.join(blocks, "block").groupBy("block", "part")
     found = scored.select("row", "path").mapInArrow(deal, _DEALT).groupBy("block", "part").cogroup(known)
-    return found.applyInArrow(apply, "row long, model_c double").groupBy("row").agg(F.sum("model_c").alias("model_c"))
+    sums = found.applyInArrow(apply, "row long, model_c double").groupBy("row").agg(F.sum("model_c").alias("model_c"))
+    return without_shuffles(sums, "class-sums")
 
 
 def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
