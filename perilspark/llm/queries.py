@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from perilspark.llm import infilling, warc
 from perilspark.llm.common import crc_part
 from perilspark.llm.decontamination import contaminated
 from perilspark.llm.embedding_dedup import embedding_groups
@@ -21,6 +22,7 @@ from perilspark.llm.simhash_dedup import simhash_groups
 from perilspark.llm.suffix_dedup import suffix_dedup
 from perilspark.llm.toxicity import score_toxicity
 from perilspark.llm.url_filter import judge_urls
+from perilspark.session import run_dir
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -75,6 +77,19 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = infilling.fill_in_middle(table(spark, folder, "documents"))
+    back = infilling.restored(F.col("output"), F.col("form"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def warc_pages(spark: SparkSession, folder: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, folder, "pages"), run_dir(spark, "warc"))
+    rows = warc.read_sound(manifest, ["record_type", "record_id", "refers_to", "payload_bytes", "payload_digest"])
+    rows = rows.where(F.col("record_type").isin("response", "revisit"))
+    return rows.select(warc.page_key("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_key("refers_to").alias("refers_to"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": suffix_array_dedup,
     "op2_sharding": sharding,
@@ -86,7 +101,12 @@ QUERIES = {
     "op8_lm_score": lm_score,
     "op9_embedding_near_dedup": embedding_near_dedup,
     "op10_simhash_near_dedup": simhash_near_dedup,
+    "op11_fill_in_middle": fill_in_middle,
+    "op12_warc": warc_pages,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op11_fill_in_middle": infilling.SQL,
+    "op12_warc": warc.SQL,
+}
