@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from perilspark.llm import infilling, warc
+from perilspark.llm import infilling, ranked_search, warc
 from perilspark.llm.common import crc_part
 from perilspark.llm.decontamination import contaminated
 from perilspark.llm.embedding_dedup import embedding_groups
@@ -90,6 +90,10 @@ def warc_pages(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(warc.page_key("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_key("refers_to").alias("refers_to"))
 
 
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": suffix_array_dedup,
     "op2_sharding": sharding,
@@ -103,10 +107,12 @@ QUERIES = {
     "op10_simhash_near_dedup": simhash_near_dedup,
     "op11_fill_in_middle": fill_in_middle,
     "op12_warc": warc_pages,
+    "op13_ranked_lexical_search": lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op11_fill_in_middle": infilling.SQL,
     "op12_warc": warc.SQL,
+    "op13_ranked_lexical_search": ranked_search.SQL,
 }
