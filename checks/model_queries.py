@@ -15,6 +15,7 @@ from perilspark.operators.metrics import (
     classification_report,
     ks_statistic,
     label_metrics,
+    long_scores,
     metric_by_group,
     metric_rows,
     multiclass_report,
@@ -170,18 +171,16 @@ def group_folds(spark, folder):
 
 
 def auc_gini(spark, folder):
-    s = flag_scores(spark, folder)
-    tied = auc(s, "y", "p_tied").withColumn("score", F.lit("tied"))
-    fine = auc(s, "y", "p_fine").withColumn("score", F.lit("fine"))
-    toxic = auc(toxic_scores(spark, folder), "y", "p").withColumn("score", F.lit("toxic"))
-    return rounded(tied.unionByName(fine).unionByName(toxic), 9, "auc", "gini")
+    y = F.col("y")
+    flags = long_scores(flag_scores(spark, folder), {"tied": (y, F.col("p_tied")), "fine": (y, F.col("p_fine"))}, "score")
+    toxic = long_scores(toxic_scores(spark, folder), {"toxic": (y, F.col("p"))}, "score")
+    return rounded(auc(flags.unionByName(toxic), "y", "p", ["score"]), 9, "auc", "gini")
 
 
 def ks(spark, folder):
-    s = flag_scores(spark, folder)
-    tied = ks_statistic(s, "y", "p_tied", ["l_linestatus"]).withColumn("score", F.lit("tied"))
-    fine = ks_statistic(s, "y", "p_fine", ["l_linestatus"]).withColumn("score", F.lit("fine"))
-    return rounded(tied.unionByName(fine), 9, "ks")
+    y = F.col("y")
+    both = long_scores(flag_scores(spark, folder), {"tied": (y, F.col("p_tied")), "fine": (y, F.col("p_fine"))}, "score", ["l_linestatus"])
+    return rounded(ks_statistic(both, "y", "p", ["l_linestatus", "score"]), 9, "ks")
 
 
 def prf(spark, folder):

@@ -94,7 +94,7 @@ def number_locations(df: DataFrame, lon: str = "lon", lat: str = "lat", name: st
         raise ValueError(f"columns {lon!r} and {lat!r} are required")
     rest = [c for c in df.columns if c not in (lon, lat)]
     places = first_per_key(df.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()), [lon, lat], rest) if rest else df.distinct()
-    numbered = ordered_row_number(places, [], lon, [lat], "_i", tie_value=-F.col(lat))
+    numbered = ordered_row_number(places, [], [F.col(lon), -F.col(lat)], "_i")
     return numbered.withColumn(name, padded_id(F.col("_i"), F.col("_i_of"))).drop("_i", "_i_of")
 
 

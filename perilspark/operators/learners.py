@@ -221,7 +221,7 @@ def permutation_importance(
     A shuffle joins each row's hash rank with another hash rank of the feature
     column, so no column passes through one task. ``ids`` identify a row.
     """
-    numbered = ordered_row_number(df.withColumn("_h", F.xxhash64(*ids)), [], "_h", ids, "_i").drop("_h", "_i_of")
+    numbered = ordered_row_number(df, [], [F.xxhash64(*ids), *map(F.col, ids)], "_i").drop("_i_of")
     numbered = materialise(numbered, "permutation-rows")
 
     def quality(frame: DataFrame) -> float:
@@ -232,8 +232,8 @@ def permutation_importance(
     for f in model.features:
         losses = []
         for r in range(repeats):
-            moved = numbered.select("_i", f).withColumn("_h", F.xxhash64("_i", F.lit(seed + r), F.lit(f)))
-            moved = ordered_row_number(moved, [], "_h", ["_i"], "_j").select(F.col("_j").alias("_i"), f)
+            moved = numbered.select("_i", f)
+            moved = ordered_row_number(moved, [], [F.xxhash64("_i", F.lit(seed + r), F.lit(f)), F.col("_i")], "_j").select(F.col("_j").alias("_i"), f)
             losses.append(base - quality(numbered.drop(f).join(moved, "_i")))
         rows.append((f, sum(losses) / repeats))
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))

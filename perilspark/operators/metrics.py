@@ -26,7 +26,7 @@ def score_curve(df: DataFrame, label: str, score: str, keys: list[str] = (), buc
     """
     known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
     levels = known.groupBy(*keys, score).agg(_sum_if(F.col(label) == 1).alias("pos"), _sum_if(F.col(label) != 1).alias("neg"))
-    return running_sums(levels, list(keys), score, ["pos", "neg"], buckets=buckets, bounds_from=known)
+    return running_sums(levels, list(keys), score, ["pos", "neg"], buckets=buckets)
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -74,12 +74,18 @@ def precision_at_recall(df: DataFrame, label: str, score: str, recall: float = 0
     return curve_metrics(score_curve(df, label, score, keys), keys, recall).select(*keys, "precision_at_recall")
 
 
+def long_scores(df: DataFrame, scores: dict, name: str, keys: list[str] = ()) -> DataFrame:
+    """Rows (keys, name, y, p), one per row and score: several scores share one scan, one exchange and one curve.
+
+    ``scores`` gives a label (a condition or a 0/1 column) and a score per name.
+    """
+    rows = F.array(*[F.struct(F.lit(n).alias(name), y.cast("int").alias("y"), p.cast("double").alias("p")) for n, (y, p) in scores.items()])
+    return df.select(*keys, F.explode(rows).alias("r")).select(*keys, f"r.{name}", "r.y", "r.p")
+
+
 def one_vs_rest(df: DataFrame, label: str, scores: dict[int, str], keys: list[str] = ()) -> DataFrame:
     """AUC, Gini and KS per class and their plain average per group."""
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("cls"), (F.col(label) == c).cast("int").alias("y"), F.col(s).alias("p")) for c, s in scores.items()
-    ])
-    long = df.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.cls", "r.y", "r.p")
+    long = long_scores(df, {c: (F.col(label) == c, F.col(s)) for c, s in scores.items()}, "cls", keys)
     per_class = curve_metrics(score_curve(long, "y", "p", [*keys, "cls"]), [*keys, "cls"])
     return per_class.groupBy(*keys).agg(F.avg("auc").alias("auc"), F.avg("gini").alias("gini"), F.avg("ks").alias("ks"))
 
@@ -177,7 +183,7 @@ def exact_median(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
     keys = list(keys)
     known = df.where(F.col(value).isNotNull())
     levels = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    placed = running_sums(levels, keys, value, ["n"], bounds_from=known)
+    placed = running_sums(levels, keys, value, ["n"])
     total, upto = F.col("total_n"), F.col("cum_n")
     low = F.min(F.when(upto * 2 >= total, F.col(value)))
     high = F.min(F.when(upto * 2 >= total + F.when(total % 2 == 0, 2).otherwise(1), F.col(value)))

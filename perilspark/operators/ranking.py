@@ -12,10 +12,10 @@ def quantile_class(df: DataFrame, score: str, group: list[str], quantiles: int,
     """Equal-frequency class per group, 1 = highest scores.
 
     Cut points are interpolated ranks, so the class of rank r among n rows is
-    ceil((r - 1) * q / (n - 1)), at least 1. Equal scores go by ``ties``, of which the first is a date.
+    ceil((r - 1) * q / (n - 1)), at least 1. Equal scores go by ``ties``, missing scores last.
     """
-    day = F.unix_date(F.col(ties[0])).cast("double")
-    ranked = ordered_row_number(df, group, score, ties, "_r", descending=True, tie_value=day)
+    by = [F.col(score).isNull(), -F.col(score), *map(F.col, ties)]
+    ranked = ordered_row_number(df, group, by, "_r")
     steps, last = (F.col("_r") - 1) * quantiles, F.greatest(F.col("_r_of") - 1, F.lit(1))
     # Ceiling in whole numbers: no rounding error at class borders.
     whole = F.expr("(steps + last - 1) div last")

@@ -60,7 +60,7 @@ def box_polygon(spark: SparkSession, minx: float, miny: float, maxx: float, maxy
 def number_areas(polygons: DataFrame, name: str = "location_id") -> DataFrame:
     """Distinct shapes numbered ``ID-001…`` by their north-western corner."""
     shapes = polygons.dropDuplicates(["edges"])
-    numbered = ordered_row_number(shapes, [], "minx", ["maxy", "edges"], "_i", tie_value=-F.col("maxy"))
+    numbered = ordered_row_number(shapes, [], [F.col("minx"), -F.col("maxy"), F.col("edges")], "_i")
     return numbered.withColumn(name, padded_id(F.col("_i"), F.col("_i_of"))).drop("_i", "_i_of")
 
 

@@ -54,7 +54,7 @@ def holdout_groups(df: DataFrame, group: str, fraction: float, stratify: str | N
     strata = [stratify] if stratify else []
     groups = df.select(group, *strata).distinct()
     hashed = groups.withColumn("_h", F.xxhash64(group, F.lit(seed)))
-    ranked = ordered_row_number(hashed, strata, "_h", [group], "_r")
+    ranked = ordered_row_number(hashed, strata, [F.col("_h"), F.col(group)], "_r")
     return ranked.where(F.col("_r") <= F.ceil(F.col("_r_of") * fraction)).select(group).distinct()
 
 

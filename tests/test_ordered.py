@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import brute
 from perilspark.operators import metrics as M
-from perilspark.operators.ordered import dense_rank_levels, ordered_row_number, running_sums, with_quantile_bucket
+from perilspark.operators.ordered import dense_rank_levels, ordered_row_number, running_sums, with_level_bucket, with_row_bucket
 from perilspark.operators.ranking import best_trials, quantile_class, rank_trials
 
 
@@ -36,7 +36,7 @@ def test_running_sums(spark, scored, descending):
 
 @pytest.mark.parametrize("keys", [[], ["g"]])
 def test_row_numbers(spark, scored, keys):
-    got = ordered_row_number(spark.createDataFrame(scored), keys, "p", ["id"], "r", True, tie_value=F.col("id"), buckets=9).toPandas()
+    got = ordered_row_number(spark.createDataFrame(scored), keys, [-F.col("p"), F.col("id")], "r", buckets=9).toPandas()
     want = scored.sort_values(["p", "id"], ascending=[False, True])
     want["want"] = want.groupby("g").cumcount() + 1 if keys else range(1, len(want) + 1)
     both = want.merge(got, on="id")
@@ -47,9 +47,40 @@ def test_no_task_holds_a_hot_group(spark, scored):
     """One group with a third of the rows, half of the scores tied at zero."""
     df = spark.createDataFrame(scored)
     levels = df.groupBy("g", "p").agg(F.count(F.lit(1)).alias("n"))
-    bucketed = with_quantile_bucket(levels, F.col("p"), 10, bounds_from=df)
-    largest = bucketed.groupBy("g", "_bucket").count().agg(F.max("count")).first()[0]
-    assert largest <= 2 * len(scored) / 10 and largest < 0.5 * levels.where("g = 'hot'").count()
+    bucketed = with_level_bucket(levels, F.col("p"), 10)
+    largest = bucketed.groupBy("_bucket").count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * levels.count() / 10
+    # Rows that tie in the score are cut by the columns that decide ties.
+    bucketed = with_row_bucket(df, [-F.col("p"), F.col("id")], 10)
+    largest = bucketed.groupBy("_bucket").count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * len(scored) / 10
+
+
+@pytest.mark.parametrize("buckets", [2, 3, 8, 9, 50])
+def test_buckets_are_monotone(spark, scored, buckets):
+    df = spark.createDataFrame(scored)
+    levels = df.groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    rows = with_level_bucket(levels, F.col("p"), buckets).orderBy("p").collect()
+    assert [r["_bucket"] for r in rows] == sorted(r["_bucket"] for r in rows) and len({r["_bucket"] for r in rows}) == buckets
+    rows = with_row_bucket(df, [-F.col("p"), F.col("id")], buckets).orderBy(F.desc("p"), "id").collect()
+    assert [r["_bucket"] for r in rows] == sorted(r["_bucket"] for r in rows) and len({r["_bucket"] for r in rows}) > buckets / 2
+
+
+def test_one_exchange_serves_sums_and_totals(spark, scored):
+    """Levels are computed once, and their exchange by (key, bucket) is read twice."""
+    df = spark.createDataFrame(scored)
+    curve = M.score_curve(df, "y", "p", ["g"])
+    curve.collect()
+    final = curve._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+
+
+def test_missing_and_empty(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", 0.5, 2), ("b", 0.5, 3)], "g string, p double, id int")
+    got = {r["id"]: (r["r"], r["r_of"]) for r in ordered_row_number(df, ["g"], [F.col("p").isNull(), -F.col("p"), F.col("id")], "r").collect()}
+    assert got == {1: (2, 2), 2: (1, 2), 3: (1, 1)}
+    assert ordered_row_number(df.where("false"), [], [F.col("id")], "r").count() == 0
+    assert running_sums(df.where("false").select("p", "id"), [], "p", ["id"]).count() == 0
 
 
 def test_dense_ranks_put_missing_last(spark):
