@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import snap_bounds
 from .columns import include_exclude
 from .forecast import first_per_key
-from .joins import broadcast_if_small, is_small
+from .joins import MAX_BROADCAST_ROWS, broadcast_if_small, is_small
 from .ordered import ordered_row_number
 
 # An axis map has at most two rows per grid line. Up to this many rows it is
@@ -55,6 +55,12 @@ class GridSpec:
         size, node = (self.nx, self.node_lon) if name == "lon" else (self.ny, self.node_lat)
         return spark.range(size).select(node(F.col("id")).alias("target"))
 
+    def broadcast_nodes(self, rows: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+        """Hint a broadcast of a table with at most a row per node, by the grid's size, else by counting."""
+        if self.nx * self.ny <= MAX_BROADCAST_ROWS:
+            return F.broadcast(rows)
+        return F.broadcast(rows) if is_small(rows if counted is None else counted) else rows
+
     def nearest(self, lon: Column | str, lat: Column | str) -> tuple[Column, Column]:
         """Coordinates of the nearest node; outside points go to the edge.
 
@@ -136,49 +142,86 @@ def enclosing_slice(cells: DataFrame, bounds: dict[str, float], lon: str = "lon"
     return cells.where(inside)
 
 
-def _neighbours(source: DataFrame, targets: DataFrame) -> DataFrame:
-    """For each target axis value the source values just below and above."""
-    # Both inputs are axes (grid lines), so one ordered pass over them is small.
-    line = Window.partitionBy(F.lit(1)).orderBy("at")
-    both = source.select(F.col("source").alias("at"), F.col("source").alias("s"), F.lit(None).cast("double").alias("target"))
-    both = both.unionByName(targets.select(F.col("target").alias("at"), F.lit(None).cast("double").alias("s"), "target"))
-    # A range frame keeps peers together: an equal source counts as below and above.
-    below = F.max("s").over(line.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    above = F.min("s").over(line.rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    return both.select("target", below.alias("below"), above.alias("above")).where(F.col("target").isNotNull())
+def _lines(cells: DataFrame, lon: str, lat: str) -> Column:
+    """Sorted distinct coordinates of a table on both axes, from one scan, as a scalar subquery."""
+    found = cells.agg(*[F.sort_array(F.collect_set(F.col(c).cast("double"))).alias(a) for c, a in ((lon, "lon"), (lat, "lat"))])
+    return found.select(F.struct("lon", "lat").alias("lines")).scalar()
+
 
+def _neighbours(targets: DataFrame, axis: str, source: GridSpec | Column) -> DataFrame:
+    """For each target line the source lines just below and above; an equal line is both.
 
-def nearest_axis_map(source: DataFrame, targets: DataFrame) -> DataFrame:
+    Between two grids this is arithmetic. Lines read from a table come as
+    sorted arrays; a target line is compared with each, on all tasks.
+    """
+    t = F.col("target")
+    if isinstance(source, GridSpec):
+        size, node = (source.nx, source.node_lon) if axis == "lon" else (source.ny, source.node_lat)
+        place = (t - source.minx if axis == "lon" else F.lit(float(source.maxy)) - t) * source.nodes_per_degree
+        place = F.round(place, DIGITS)
+        at = lambda i: F.when((i >= 0) & (i < size), node(i))
+        near, far = at(F.floor(place)), at(F.ceil(place))
+        near, far = F.when(place < 0, None).otherwise(near), F.when(place > size - 1, None).otherwise(far)
+        near, far = F.when(place > size - 1, node(F.lit(size - 1))).otherwise(near), F.when(place < 0, node(F.lit(0))).otherwise(far)
+        below, above = (near, far) if axis == "lon" else (far, near)
+        return targets.select("target", below.alias("below"), above.alias("above"))
+    lines = targets.withColumn("_lines", source[axis])
+    placed = lines.withColumn("_at", F.size(F.filter("_lines", lambda line: line < t)))
+    above = F.get("_lines", F.col("_at"))
+    below = F.when(above == t, above).otherwise(F.get("_lines", F.col("_at") - 1))
+    # A filter on the result is not pushed below a generator, where it would search again.
+    found = placed.select("target", F.explode(F.array(F.struct(below.alias("below"), above.alias("above")))).alias("n"))
+    return found.select("target", "n.below", "n.above")
+
+
+def nearest_axis_map(targets: DataFrame, axis: str, source: GridSpec | Column) -> DataFrame:
     """(target, source) pairs; half-way targets take the larger source."""
     t, lo, hi = F.col("target"), F.col("below"), F.col("above")
     pick = F.when(lo.isNull(), hi).when(hi.isNull(), lo).when(F.round(hi - t, 9) <= F.round(t - lo, 9), hi).otherwise(lo)
-    return _neighbours(source, targets).select("target", pick.alias("source"))
+    return _neighbours(targets, axis, source).select("target", pick.alias("source"))
 
 
-def linear_axis_map(source: DataFrame, targets: DataFrame) -> DataFrame:
+def linear_axis_map(targets: DataFrame, axis: str, source: GridSpec | Column) -> DataFrame:
     """(target, source, weight, parts) rows; targets outside are left out."""
     share = F.try_divide(F.col("target") - F.col("below"), F.col("above") - F.col("below"))
     exact = F.col("below") == F.col("above")
     low = F.struct(F.col("below").alias("source"), F.when(exact, 1.0).otherwise(1 - share).alias("weight"))
     high = F.struct(F.col("above").alias("source"), share.alias("weight"))
     pairs = F.when(exact, F.array(low)).otherwise(F.array(low, high))
-    inside = _neighbours(source, targets).where(F.col("below").isNotNull() & F.col("above").isNotNull())
+    inside = _neighbours(targets, axis, source).where(F.col("below").isNotNull() & F.col("above").isNotNull())
     rows = inside.select("target", F.explode(pairs).alias("p"), F.size(pairs).alias("parts"))
     return rows.select("target", "p.source", "p.weight", "parts")
 
 
-def _axis(cells: DataFrame, name: str, axis: str, source: GridSpec | DataFrame | None) -> DataFrame:
-    """Source grid lines: from a grid definition, or distinct in a table."""
-    if isinstance(source, GridSpec):
-        return source.axis(cells.sparkSession, axis).select(F.col("target").alias("source"))
-    table = cells if source is None else source
-    return table.select(F.col(name).cast("double").alias("source")).distinct()
+def _source_lines(cells: DataFrame, lon: str, lat: str, source: GridSpec | DataFrame | None) -> GridSpec | Column:
+    """A named grid as it is, or the lines that a table holds."""
+    return source if isinstance(source, GridSpec) else _lines(cells if source is None else source, lon, lat)
 
 
 def _small(axis_map: DataFrame, lines: int) -> DataFrame:
     return F.broadcast(axis_map) if 2 * lines <= AXIS_BROADCAST_ROWS else axis_map
 
 
+def _axis_maps(spark: SparkSession, grid: GridSpec, lines: GridSpec | Column) -> tuple[DataFrame, DataFrame]:
+    """Nearest source line of each target line: (_t_lon, _s_lon) and (_t_lat, _s_lat)."""
+
+    def pairs(axis: str, size: int) -> DataFrame:
+        found = nearest_axis_map(grid.axis(spark, axis), axis, lines)
+        return _small(found.select(F.col("target").alias(f"_t_{axis}"), F.col("source").alias(f"_s_{axis}")), size)
+
+    return pairs("lon", grid.nx), pairs("lat", grid.ny)
+
+
+def node_cells(
+    cells: DataFrame, grid: GridSpec, nodes: DataFrame | None, lon: str = "lon", lat: str = "lat", source: GridSpec | DataFrame | None = None
+) -> DataFrame:
+    """The source cell of each node, of all the grid's nodes if none are listed: (_t_lon, _t_lat, _s_lon, _s_lat)."""
+    x, y = _axis_maps(cells.sparkSession, grid, _source_lines(cells, lon, lat, source))
+    wanted = grid.points(cells.sparkSession) if nodes is None else nodes.select("lon", "lat").distinct()
+    wanted = wanted.select(F.col("lon").alias("_t_lon"), F.col("lat").alias("_t_lat"))
+    return wanted.join(x, "_t_lon").join(y, "_t_lat").select("_t_lon", "_t_lat", "_s_lon", "_s_lat")
+
+
 def regrid_nearest(
     cells: DataFrame,
     grid: GridSpec,
@@ -190,25 +233,17 @@ def regrid_nearest(
     """Relabel cells to the nearest target nodes, all other columns kept.
 
     ``source`` names the grid of the cells; without it their distinct
-    coordinates are read (from the given table, or from the cells).
+    coordinates are read (from the given table, or from the cells) in one scan.
     ``nodes`` (lon, lat) limits the output to those grid nodes; the cells
     behind them are then picked by one join instead of filling the whole grid.
     """
-    spark = cells.sparkSession
-    pairs = {
-        axis: nearest_axis_map(_axis(cells, name, axis, source), grid.axis(spark, axis)).select(
-            F.col("target").alias(f"_t_{axis}"), F.col("source").alias(f"_s_{axis}")
-        )
-        for name, axis in ((lon, "lon"), (lat, "lat"))
-    }
-    x, y = _small(pairs["lon"], grid.nx), _small(pairs["lat"], grid.ny)
     if nodes is None:
+        x, y = _axis_maps(cells.sparkSession, grid, _source_lines(cells, lon, lat, source))
         at_lon = cells.join(x, F.col(lon) == F.col("_s_lon"))
         joined = at_lon.join(y, F.col(lat) == F.col("_s_lat"))
     else:
-        wanted = nodes.select(F.col("lon").alias("_t_lon"), F.col("lat").alias("_t_lat")).distinct()
-        picks = wanted.join(x, "_t_lon").join(y, "_t_lat")  # one row per node
-        picks = F.broadcast(picks) if is_small(wanted) else picks
+        picks = node_cells(cells, grid, nodes, lon, lat, source)
+        picks = grid.broadcast_nodes(picks, nodes)
         joined = cells.join(picks, (F.col(lon) == F.col("_s_lon")) & (F.col(lat) == F.col("_s_lat")))
     moved = {lon: "_t_lon", lat: "_t_lat"}
     return joined.select(*[F.col(moved[c]).alias(c) if c in moved else F.col(c) for c in cells.columns])
@@ -227,10 +262,10 @@ def regrid_linear(
 
     Targets outside the source grid get no row.
     """
-    spark = cells.sparkSession
+    found = _source_lines(cells, lon, lat, source)
     out = cells.select(lon, lat, *keys, *values)
     for name, lines, axis in ((lon, grid.nx, "lon"), (lat, grid.ny, "lat")):
-        pairs = linear_axis_map(_axis(cells, name, axis, source), grid.axis(spark, axis))
+        pairs = linear_axis_map(grid.axis(cells.sparkSession, axis), axis, found)
         pairs = pairs.select(
             F.col("source").alias(f"_s_{axis}"), F.col("target").alias(f"_t_{axis}"),
             F.col("weight").alias(f"_w_{axis}"), F.col("parts").alias(f"_n_{axis}"),

@@ -26,17 +26,22 @@ def bucket_count(df: DataFrame) -> int:
     return max(8, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _with_bucket(df: DataFrame, value: str, bounds: Column, n: int) -> DataFrame:
-    """Add ``_bucket``: how many of at most ``n`` sorted bounds lie below a value.
+def with_place(df: DataFrame, value: str, bounds: str, n: int, name: str) -> DataFrame:
+    """Add ``name``: how many of the sorted ``bounds``, an array of at most ``n``, lie below a value.
 
-    A binary search, one projection a step, all within generated code. ``bounds`` is a scalar subquery.
+    A binary search, one projection a step, all within generated code.
     """
-    df, step = df.withColumns({_BOUNDS: bounds, BUCKET: F.lit(0)}), 1 << max(0, n.bit_length() - 1)
+    df, step = df.withColumn(name, F.lit(0)), 1 << max(0, n.bit_length() - 1)
     while step:
-        below = F.get(_BOUNDS, F.col(BUCKET) + (step - 1)) < F.col(value)
-        df = df.withColumn(BUCKET, F.col(BUCKET) + F.when(below, step).otherwise(0))
+        below = F.get(bounds, F.col(name) + (step - 1)) < F.col(value)
+        df = df.withColumn(name, F.col(name) + F.when(below, step).otherwise(0))
         step >>= 1
-    return df.drop(_BOUNDS)
+    return df
+
+
+def _with_bucket(df: DataFrame, value: str, bounds: Column, n: int) -> DataFrame:
+    """Add ``_bucket``; ``bounds`` is a scalar subquery."""
+    return with_place(df.withColumn(_BOUNDS, bounds), value, _BOUNDS, n, BUCKET).drop(_BOUNDS)
 
 
 def _all(df: DataFrame) -> Column:

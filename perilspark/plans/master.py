@@ -13,7 +13,7 @@ from ..functions.temporal import Calendar, with_time_parts
 from ..operators.calendar import repeat_over_calendar, restrict_to_calendar
 from ..operators.columns import drop_missing
 from ..operators.forecast import mean_over_leads
-from ..operators.grid import GridSpec, match_to_grid, regrid_nearest
+from ..operators.grid import GridSpec, match_to_grid, node_cells, regrid_nearest
 from ..operators.joins import broadcast_if_small
 from ..session import materialise
 
@@ -32,18 +32,48 @@ class FeatureSet:
     grid: GridSpec | None = None
 
 
-def _on_grid(given: FeatureSet, grid: GridSpec, calendar: Calendar, steps: list[int], nodes: DataFrame | None) -> DataFrame:
-    features = given.table
-    # Grid lines come from the stored table, not from what is derived below.
-    source = given.grid or features
-    values = [c for c in features.columns if c not in (*KEYS, "step")]
-    keys = [k for k in KEYS if k in features.columns]
-    if "time" in features.columns:
-        features = restrict_to_calendar(features, calendar)
-    if "step" in features.columns:
-        features = mean_over_leads(features, values, steps, keys)
-    placed = regrid_nearest(features, grid, nodes=nodes, source=source)
-    return placed if "time" in features.columns else repeat_over_calendar(placed, calendar)
+def _values(table: DataFrame) -> list[str]:
+    return [c for c in table.columns if c not in (*KEYS, "step")]
+
+
+def _merged(members: list[DataFrame], spine: DataFrame | None, calendar: Calendar, steps: list[int]) -> DataFrame:
+    """Sets of one native grid, one row per cell and day, in one exchange.
+
+    Lead means and the merge are the same aggregation. ``spine`` adds cells and
+    days that need a row whether or not a set has one; ``_given`` tells them
+    from rows of a set.
+    """
+    dated = [restrict_to_calendar(t, calendar) for t in members]
+    # A value that several sets hold is averaged over leads within its set first.
+    shared = {v for i, t in enumerate(dated) for u in dated[:i] for v in set(_values(t)) & set(_values(u))}
+    rows, means = [], set()
+    for t in dated:
+        values = _values(t)
+        if "step" in t.columns and shared & set(values):
+            t = mean_over_leads(t, values, steps, KEYS)
+        elif "step" in t.columns:
+            t = t.where(F.col("step").isin(*steps)).drop("step")
+            means |= set(values)
+        rows.append(t.withColumn("_given", F.lit(True)))
+    if spine is not None:
+        rows.append(spine.withColumn("_given", F.lit(False)))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return _folded(stacked, KEYS, means)
+
+
+def _folded(stacked: DataFrame, keys: list[str], means: set[str] = frozenset()) -> DataFrame:
+    """One row per key with what its rows hold: a mean, or the one value that is there."""
+    rest = [c for c in stacked.columns if c not in keys]
+    how = {c: F.max(c) if c == "_given" else F.avg(c) if c in means else F.first(c, ignorenulls=True) for c in rest}
+    return stacked.groupBy(*keys).agg(*[how[c].alias(c) for c in rest])
+
+
+def _static_rows(static: list[FeatureSet], grid: GridSpec, nodes: DataFrame | None) -> DataFrame | None:
+    """All static sets as one row per grid node."""
+    if not static:
+        return None
+    placed = [regrid_nearest(f.table, grid, nodes=nodes, source=f.grid) for f in static]
+    return _folded(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed), ["lon", "lat"])
 
 
 def align_features(
@@ -55,17 +85,47 @@ def align_features(
 ) -> DataFrame:
     """Outer merge of feature sets on (lon, lat, time) with time parts added.
 
-    Sets are stacked and folded by one aggregation: a single shuffle with
-    map-side combine, where a chain of full outer joins would reshuffle its
-    growing result at every set. A (lon, lat, time) is unique within a set.
+    Sets on one native grid are merged there, by one aggregation that also
+    takes lead means: what is shuffled is native cells times days, however
+    fine the target grid is. Merged cells then go to the target nodes by a
+    broadcast of axis maps, and static sets, folded to one row per node, join
+    last; days on which only they have a node come from a spine of native cells.
+    Only sets on different native grids meet in a second aggregation.
+
+    A (lon, lat, time) is unique within a set, a (lon, lat) within a static one.
     ``nodes`` limits the work to some grid nodes from the first step on.
     """
     sets = [f if isinstance(f, FeatureSet) else FeatureSet(f) for f in feature_sets]
-    placed = [_on_grid(f, grid, calendar, steps, nodes) for f in sets]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
-    values = [c for c in stacked.columns if c not in KEYS]
-    merged = stacked.groupBy(*KEYS).agg(*[F.first(v, ignorenulls=True).alias(v) for v in values])
-    return with_time_parts(merged, ["month", "week", "yearmon"])
+    static = _static_rows([f for f in sets if "time" not in f.table.columns], grid, nodes)
+    groups: dict = {}
+    for i, f in enumerate(sets):
+        if "time" in f.table.columns:
+            groups.setdefault(f.grid or i, []).append(f)
+    if not groups:
+        return with_time_parts(repeat_over_calendar(static, calendar), ["month", "week", "yearmon"])
+
+    placed = []
+    for i, members in enumerate(groups.values()):
+        tables, source = [f.table for f in members], members[0].grid or members[0].table
+        spine, needed = None, nodes is not None or (static is not None and i == 0)
+        picks = node_cells(tables[0], grid, nodes, source=source) if needed else None
+        if needed:
+            cells = picks.select(F.col("_s_lon").alias("lon"), F.col("_s_lat").alias("lat")).distinct()
+        if nodes is not None:
+            wanted = grid.broadcast_nodes(cells)
+            tables = [t.join(wanted, ["lon", "lat"], "left_semi") for t in tables]
+        if static is not None and i == 0:
+            spine = calendar.expand(cells)
+        placed.append(regrid_nearest(_merged(tables, spine, calendar, steps), grid, nodes=nodes, source=source))
+    merged = placed[0]
+    if len(placed) > 1:
+        merged = _folded(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed), KEYS)
+    if static is not None:
+        both = [v for v in _values(static) if v in merged.columns]
+        renamed = static.withColumnsRenamed({v: f"_static_{v}" for v in both}).withColumn("_node", F.lit(True))
+        merged = merged.join(grid.broadcast_nodes(renamed), ["lon", "lat"], "left").where(F.col("_given") | F.col("_node"))
+        merged = merged.withColumns({v: F.coalesce(v, f"_static_{v}") for v in both}).drop("_node", *[f"_static_{v}" for v in both])
+    return with_time_parts(merged.drop("_given"), ["month", "week", "yearmon"])
 
 
 def station_nodes(stations: DataFrame, grid: GridSpec) -> DataFrame:
@@ -94,9 +154,14 @@ def training_table(
     """Features at the stations joined with observed targets."""
     places = station_nodes(target_table, grid)
     nodes = places.select(F.col("node_lon").alias("lon"), F.col("node_lat").alias("lat"))
-    features = at_stations(align_features(feature_sets, grid, calendar, steps, nodes), places)
+    features = align_features(feature_sets, grid, calendar, steps, nodes)
     observed = drop_missing(target_table.where(calendar.between("time")), [target])
-    return features.join(observed, KEYS)
+    rest = [c for c in observed.columns if c not in KEYS]
+    # Targets go to their nodes, not the features of a node to all its stations and days.
+    placed = observed.join(broadcast_if_small(places), ["lon", "lat"])
+    features = features.withColumnsRenamed({"lon": "node_lon", "lat": "node_lat"})
+    joined = placed.join(features, ["node_lon", "node_lat", "time"])
+    return joined.select(*KEYS, *[c for c in features.columns if c not in ("node_lon", "node_lat", "time")], *rest)
 
 
 def inference_table(feature_sets: Sequence[FeatureSet | DataFrame], grid: GridSpec, calendar: Calendar, steps: list[int]) -> DataFrame:
