@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import math
 import random
+import warnings
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, Imputer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import PCA, Imputer, QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import hash_key
 from ..session import materialise
-from .metrics import auc
+from .clusters import assigned, kmeans_restarts
+from .isotonic import StepCalibration, fit_isotonic
+from .metrics import auc, one_vs_rest
 from .ordered import ordered_row_number
 
 
@@ -36,8 +40,8 @@ def cluster_stations(
 ) -> DataFrame:
     """Standardise, reduce and cluster stations; adds comp_i and ``cluster``.
 
-    The best of ``restarts`` k-means runs counts. Cluster numbers carry no
-    order. A missing value takes the mean over stations.
+    The best of ``restarts`` k-means runs counts; all runs go through the same
+    passes. Cluster numbers carry no order. A missing value takes the mean over stations.
     """
     inputs = [c for c in profile.columns if c not in station]
     filled = [f"_f_{c}" for c in inputs]
@@ -46,13 +50,11 @@ def cluster_stations(
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="_raw", outputCol="_scaled")
     reduce = PCA(k=min(components, len(inputs)), inputCol="_scaled", outputCol="_pca")
     ready = Pipeline(stages=[imputer, assembler, scaler, reduce]).fit(profile).transform(profile)
-    # One row per station, read once per restart and iteration.
-    ready = materialise(ready.select(*station, "_pca"), "station-components")
-    runs = [KMeans(k=k, seed=seed + i, featuresCol="_pca", predictionCol="cluster").fit(ready) for i in range(restarts)]
-    best = min(runs, key=lambda m: m.summary.trainingCost)
-    parts = vector_to_array("_pca")
-    named = {f"comp_{i}": F.get(parts, i) for i in range(min(components, len(inputs)))}
-    return best.transform(ready).withColumns(named).drop("_pca")
+    # One row per station, read once per round.
+    ready = materialise(ready.select(*station, vector_to_array("_pca").alias("_v"), hash_key(*station).alias("_key")), "station-components")
+    centres, _ = kmeans_restarts(ready, "_key", "_v", k, restarts, seed)
+    named = {f"comp_{i}": F.get("_v", i) for i in range(min(components, len(inputs)))}
+    return assigned(ready, centres, "_v").withColumns(named).drop("_v", "_key")
 
 
 def climate_clusters(records: DataFrame, value: str, station: list[str], static: list[str], **options) -> DataFrame:
@@ -68,13 +70,19 @@ REGRESSORS = ("hgbr", "xgbr", "lgbr")
 #: Split candidates of a feature; more where a category has more levels.
 MIN_BINS = 64
 
-# Names of boosting parameters in a configuration and in Spark ML. Parameters
-# without a counterpart (leaf counts, base score, random state) are ignored.
+#: How the report names what stands behind every configured learner.
+LEARNER = "Spark ML gradient-boosted trees"
+
+# Names of boosting parameters in a configuration and in Spark ML.
 _BOOSTING = {
     "n_estimators": "maxIter", "max_iter": "maxIter", "max_depth": "maxDepth", "learning_rate": "stepSize",
     "subsample": "subsamplingRate", "min_child_samples": "minInstancesPerNode",
     "colsample_bytree": "featureSubsetStrategy", "feature_fraction": "featureSubsetStrategy", "max_features": "featureSubsetStrategy",
 }
+# Leaf counts: a tree of depth d has 2^d leaves at most.
+_LEAVES = ("max_leaves", "num_leaves", "max_leaf_nodes")
+# Used elsewhere in a fit, or about the run alone.
+_OTHER = ("scale_pos_weight", "random_state", "n_jobs", "verbose")
 
 
 def is_classifier(algorithm: str) -> bool:
@@ -88,24 +96,37 @@ def make_learner(algorithm: str, n_classes: int = 2, params: dict | None = None,
 
     ``bins`` is at least the number of levels of the richest category.
     """
-    given = {}
+    common = {"featuresCol": "features", "labelCol": "_label", "seed": seed, "maxBins": bins, "weightCol": "_weight"}
+    given = boosting_parameters(params)
+    if is_classifier(algorithm):
+        return GBTClassifier(**common, **given)
+    return GBTRegressor(**common, **given)
+
+
+def boosting_parameters(params: dict | None) -> dict:
+    """Configured parameters by Spark ML's names.
+
+    A leaf count bounds the depth. What has no counterpart is named in a warning.
+    """
+    given, unknown = {}, []
     for name, value in (params or {}).items():
         if name in _BOOSTING:
             spark_name = _BOOSTING[name]
             given[spark_name] = str(value) if spark_name == "featureSubsetStrategy" else value
-    common = {"featuresCol": "features", "labelCol": "_label", "seed": seed, "maxBins": bins, "weightCol": "_weight"}
-    if not is_classifier(algorithm):
-        return GBTRegressor(**common, **given)
-    if n_classes > 2:
-        given = {("numTrees" if k == "maxIter" else k): v for k, v in given.items() if k != "stepSize"}
-        return RandomForestClassifier(**common, **given)
-    return GBTClassifier(**common, **given)
-
-
-def class_weights(df: DataFrame, label: str, algorithm: str, params: dict | None = None) -> DataFrame:
-    """Add ``_weight``: ``scale_pos_weight`` on positives, or balanced."""
+        elif name not in _LEAVES + _OTHER:
+            unknown.append(name)
+    leaves = [int(v) for k, v in (params or {}).items() if k in _LEAVES and v and int(v) > 1]
+    if leaves:
+        given["maxDepth"] = min(given.get("maxDepth", 5), math.ceil(math.log2(min(leaves))))
+    if unknown:
+        warnings.warn(f"parameters without a counterpart are not used: {', '.join(sorted(unknown))}", stacklevel=3)
+    return given
+
+
+def class_weights(df: DataFrame, label: str, algorithm: str, params: dict | None = None, n_classes: int = 2) -> DataFrame:
+    """Add ``_weight``: ``scale_pos_weight`` on positives of two classes, or balanced."""
     positive = (params or {}).get("scale_pos_weight")
-    if positive is not None:
+    if positive is not None and n_classes == 2:
         return df.withColumn("_weight", F.when(F.col(label) == 1, float(positive)).otherwise(1.0))
     if algorithm == "hgbc":
         counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
@@ -119,30 +140,41 @@ def class_weights(df: DataFrame, label: str, algorithm: str, params: dict | None
 
 @dataclass
 class HazardModel:
-    """Fitted feature stages and learner, with an optional calibration."""
+    """Fitted feature stages and trees, with an optional calibration.
+
+    Beyond two classes ``boosters`` holds one tree ensemble per class, all on
+    the features that ``stages`` give; otherwise the trees are the last stage.
+    """
 
     algorithm: str
     features: list[str]
     stages: PipelineModel
-    calibration: IsotonicRegressionModel | None = None
+    calibration: StepCalibration | None = None
     n_classes: int = 2
+    boosters: list[PipelineModel] = field(default_factory=list)
 
     def raw_scores(self, df: DataFrame) -> DataFrame:
         """Uncalibrated ``prob_class_i`` columns, or ``pred_target``."""
         scored = self.stages.transform(df)
         if not is_classifier(self.algorithm):
             return scored.select(*df.columns, F.col("prediction").alias("pred_target"))
-        p = vector_to_array("probability")
-        return scored.select(*df.columns, *[F.get(p, i).alias(f"prob_class_{i}") for i in range(self.n_classes)])
+        if not self.boosters:
+            p = vector_to_array("probability")
+            return scored.select(*df.columns, *[F.get(p, i).alias(f"prob_class_{i}") for i in range(self.n_classes)])
+        for booster in self.boosters:
+            scored = booster.transform(scored)
+        own = [F.get(vector_to_array(f"_probability_{i}"), 1) for i in range(self.n_classes)]
+        scored = scored.select(*df.columns, F.array(*own).alias("_own"))
+        total = F.aggregate("_own", F.lit(0.0), lambda a, b: a + b)
+        share = [F.coalesce(F.try_divide(F.get("_own", i), total), F.lit(1.0 / self.n_classes)) for i in range(self.n_classes)]
+        return scored.select(*df.columns, *[c.alias(f"prob_class_{i}") for i, c in enumerate(share)])
 
     def score(self, df: DataFrame) -> DataFrame:
         scored = self.raw_scores(df)
         if self.calibration is None:
             return scored
-        fitted = self.calibration.transform(scored.withColumnRenamed("prob_class_1", "_p"))
-        return fitted.select(
-            *df.columns, (1 - F.col("prediction")).alias("prob_class_0"), F.col("prediction").alias("prob_class_1")
-        )
+        fitted = self.calibration.transform(scored, "prob_class_1", "_fitted")
+        return fitted.select(*df.columns, (1 - F.col("_fitted")).alias("prob_class_0"), F.col("_fitted").alias("prob_class_1"))
 
     def with_label(self, df: DataFrame) -> DataFrame:
         """Add ``predicted``: the class with the highest probability."""
@@ -150,93 +182,166 @@ class HazardModel:
         return df.withColumn("predicted", (F.array_position(probs, F.array_max(probs)) - 1).cast("int"))
 
     def save(self, path: str) -> None:
+        spark = SparkSession.active()
         self.stages.write().overwrite().save(f"{path}/stages")
+        for i, booster in enumerate(self.boosters):
+            booster.write().overwrite().save(f"{path}/class-{i}")
         if self.calibration is not None:
-            self.calibration.write().overwrite().save(f"{path}/calibration")
-        spark = SparkSession.active()
-        about = [(self.algorithm, self.features, self.n_classes, self.calibration is not None)]
-        schema = "algorithm string, features array<string>, n_classes int, calibrated boolean"
+            self.calibration.save(spark, f"{path}/calibration")
+        about = [(self.algorithm, self.features, self.n_classes, self.calibration is not None, len(self.boosters))]
+        schema = "algorithm string, features array<string>, n_classes int, calibrated boolean, boosters int"
         spark.createDataFrame(about, schema).coalesce(1).write.mode("overwrite").json(f"{path}/about")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> HazardModel:
         about = spark.read.json(f"{path}/about").first()
-        calibration = IsotonicRegressionModel.load(f"{path}/calibration") if about["calibrated"] else None
-        return cls(about["algorithm"], list(about["features"]), PipelineModel.load(f"{path}/stages"), calibration, int(about["n_classes"]))
+        calibration = StepCalibration.load(spark, f"{path}/calibration") if about["calibrated"] else None
+        boosters = [PipelineModel.load(f"{path}/class-{i}") for i in range(about["boosters"])]
+        return cls(about["algorithm"], list(about["features"]), PipelineModel.load(f"{path}/stages"), calibration, int(about["n_classes"]), boosters)
 
 
-def fit_learner(
-    train: DataFrame, label: str, numeric: list[str], categorical: list[str], algorithm: str,
-    params: dict | None = None, n_classes: int = 2, seed: int = 24,
-) -> HazardModel:
-    """Fit indexers, imputer and trees on the training rows only.
+def _doubles(df: DataFrame, label: str, numeric: list[str]) -> DataFrame:
+    return df.withColumns({"_label": F.col(label).cast("double"), **{c: F.col(c).cast("double") for c in numeric}})
+
+
+def fit_features(train: DataFrame, numeric: list[str], categorical: list[str]) -> tuple[PipelineModel, int]:
+    """Stages that index, impute and bin, fitted on training rows only, and the number of bins the trees need.
 
     Category levels come from training; a level first seen later gets its own
-    code. Missing numbers take the training median.
+    code. Missing numbers take the training median. Numbers become the place
+    among training quantiles, so that every tree of every trial, fold and class
+    finds its splits among the same few codes.
     """
-    coded, filled = [f"{c}_code" for c in categorical], [f"{c}_filled" for c in numeric]
-    ready = class_weights(train.where(F.col(label).isNotNull()), label, algorithm, params)
-    ready = ready.withColumns({"_label": F.col(label).cast("double"), **{c: F.col(c).cast("double") for c in numeric}})
+    coded, filled, binned = ([f"{c}_{end}" for c in columns] for columns, end in ((categorical, "code"), (numeric, "filled"), (numeric, "bin")))
     stages, bins = [], MIN_BINS
     if categorical:
-        indexer = StringIndexer(inputCols=categorical, outputCols=coded, handleInvalid="keep").fit(ready)
+        indexer = StringIndexer(inputCols=categorical, outputCols=coded, handleInvalid="keep").fit(train)
         bins = max(bins, 1 + max(len(levels) for levels in indexer.labelsArray))  # unseen levels share one more code
         stages.append(indexer)
     if numeric:
         stages.append(Imputer(inputCols=numeric, outputCols=filled, strategy="median"))
-    stages += [VectorAssembler(inputCols=coded + filled, outputCol="features"), make_learner(algorithm, n_classes, params, seed, bins)]
-    fitted = Pipeline(stages=stages).fit(ready)
-    return HazardModel(algorithm, categorical + numeric, fitted, None, n_classes)
+        stages.append(QuantileDiscretizer(inputCols=filled, outputCols=binned, numBuckets=MIN_BINS, handleInvalid="keep"))
+    stages.append(VectorAssembler(inputCols=coded + binned, outputCol="features"))
+    return Pipeline(stages=stages).fit(train), bins
 
 
-def calibrate(model: HazardModel, held_out: DataFrame, label: str) -> HazardModel:
-    """Isotonic calibration of the class-1 probability on held-out rows.
+def fit_trees(
+    ready: DataFrame, algorithm: str, names: list[str], bins: int, params: dict | None = None, n_classes: int = 2, seed: int = 24
+) -> HazardModel:
+    """Trees on rows with ``features``, ``_label`` and ``_weight``; the model starts from ``features``.
 
-    Rows collapse to one weighted point per distinct probability before the
-    fit; the fit over points equals the fit over rows.
+    Beyond two classes, one ensemble per class against the rest, on the same
+    table; shares of the classes' probabilities sum to 1.
     """
+    if not is_classifier(algorithm) or n_classes == 2:
+        return HazardModel(algorithm, names, PipelineModel([make_learner(algorithm, n_classes, params, seed, bins).fit(ready)]), None, n_classes)
+
+    def fit(cls: int) -> PipelineModel:
+        learner = make_learner(algorithm, n_classes, params, seed, bins)
+        for column in ("prediction", "rawPrediction", "probability"):
+            learner = learner.copy({getattr(learner, f"{column}Col"): f"_{column}_{cls}"})
+        own = ready.withColumn("_label", (F.col("_label") == cls).cast("double"))
+        return PipelineModel([learner.fit(own)])
+
+    with ThreadPoolExecutor(min(n_classes, 4)) as pool:
+        return HazardModel(algorithm, names, PipelineModel([]), None, n_classes, list(pool.map(fit, range(n_classes))))
+
+
+def fit_learner(
+    train: DataFrame, label: str, numeric: list[str], categorical: list[str], algorithm: str,
+    params: dict | None = None, n_classes: int = 2, seed: int = 24,
+) -> HazardModel:
+    """Feature stages and trees, fitted on the training rows only."""
+    ready = class_weights(train.where(F.col(label).isNotNull()), label, algorithm, params, n_classes)
+    ready = _doubles(ready, label, numeric)
+    stages, bins = fit_features(ready, numeric, categorical)
+    # One table of features for all trees of all classes.
+    table = materialise(stages.transform(ready).select("features", "_label", "_weight"), "features")
+    model = fit_trees(table, algorithm, categorical + numeric, bins, params, n_classes, seed)
+    model.stages = PipelineModel([*stages.stages, *model.stages.stages])
+    return model
+
+
+def calibrate(model: HazardModel, held_out: DataFrame, label: str) -> HazardModel:
+    """Isotonic calibration of the class-1 probability on held-out rows."""
     if model.n_classes != 2 or not is_classifier(model.algorithm):
         raise ValueError("calibration needs a two-class learner")
-    points = (
-        model.raw_scores(held_out).groupBy(F.col("prob_class_1").alias("_p"))
-        .agg(F.avg(F.col(label).cast("double")).alias("_share"), F.count(F.lit(1)).cast("double").alias("_n"))
-    )
-    iso = IsotonicRegression(featuresCol="_p", labelCol="_share", weightCol="_n")
-    return HazardModel(model.algorithm, model.features, model.stages, iso.fit(points), 2)
+    curve = fit_isotonic(model.raw_scores(held_out), "prob_class_1", label)
+    return HazardModel(model.algorithm, model.features, model.stages, curve, 2, model.boosters)
 
 
 def feature_importance(model: HazardModel) -> DataFrame:
-    """Gain per feature as shares that sum to 1."""
-    gains = model.stages.stages[-1].featureImportances.toArray()
+    """Gain per feature as shares that sum to 1; the mean over classes where each has its trees."""
+    trees = [b.stages[-1] for b in model.boosters] or [model.stages.stages[-1]]
+    gains = sum(t.featureImportances.toArray() for t in trees)
     total = float(gains.sum()) or 1.0
     rows = [(name, float(g) / total) for name, g in zip(model.features, gains)]
     return SparkSession.active().createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 
+def _r2(df: DataFrame, label: str, keys: list[str]) -> DataFrame:
+    e = F.col(label) - F.col("pred_target")
+    return df.groupBy(*keys).agg((1 - F.try_divide(F.avg(e * e), F.var_pop(label))).alias("value"))
+
+
+def model_quality(model: HazardModel, scored: DataFrame, label: str, metric: str, keys: list[str]) -> DataFrame:
+    """(keys, value) of scored rows: ``accuracy``, ``auc`` or ``r2``."""
+    if metric == "r2":
+        return _r2(scored, label, keys)
+    if metric == "accuracy":
+        return model.with_label(scored).groupBy(*keys).agg(F.avg((F.col("predicted") == F.col(label)).cast("double")).alias("value"))
+    if metric != "auc":
+        raise ValueError(f"unknown metric {metric!r}; choose from accuracy, auc, r2")
+    if model.n_classes > 2:
+        found = one_vs_rest(scored, label, {i: f"prob_class_{i}" for i in range(model.n_classes)}, keys)
+    else:
+        found = auc(scored, label, "prob_class_1", keys)
+    return found.select(*keys, F.col("auc").alias("value"))
+
+
+def shuffle_step(n: Column, repeat: Column, seed: int) -> Column:
+    """How far a repeat moves a column along the rows' hash order: 1 to n - 1."""
+    return F.when(n > 1, 1 + (repeat + seed) * 2654435761 % (n - 1)).otherwise(0)
+
+
 def permutation_importance(
-    model: HazardModel, df: DataFrame, label: str, ids: list[str], repeats: int = 4, seed: int = 24
+    model: HazardModel, df: DataFrame, label: str, ids: list[str], repeats: int = 4, seed: int = 24, metric: str | None = None
 ) -> DataFrame:
-    """Mean loss of AUC when a feature is shuffled among the rows.
-
-    A shuffle joins each row's hash rank with another hash rank of the feature
-    column, so no column passes through one task. ``ids`` identify a row.
+    """Mean loss of quality when a feature is shuffled among the rows, for classifiers of any class count and regressors.
+
+    Rows are numbered once in the order of a hash of their ``ids``. In a
+    repeat every row meets the row a drawn number of places on, by one join for
+    all features; each pair gives a row per feature, with that feature taken from
+    the other row. All are scored in one pass and one grouped metric tells
+    features and repeats apart. The metric is accuracy, or R2 of a regressor,
+    unless named (``auc``).
     """
-    numbered = ordered_row_number(df, [], [F.xxhash64(*ids), *map(F.col, ids)], "_i").drop("_i_of")
+    metric = metric or ("accuracy" if is_classifier(model.algorithm) else "r2")
+    names, known = model.features, df.where(F.col(label).isNotNull())
+    numbered = ordered_row_number(known.select(label, *ids, *[c for c in names if c not in (label, *ids)]), [], [hash_key(*ids), *map(F.col, ids)], "_i")
     numbered = materialise(numbered, "permutation-rows")
-
-    def quality(frame: DataFrame) -> float:
-        return auc(model.score(frame), label, "prob_class_1").first()["auc"]
-
-    base = quality(numbered)
-    rows = []
-    for f in model.features:
-        losses = []
-        for r in range(repeats):
-            moved = numbered.select("_i", f)
-            moved = ordered_row_number(moved, [], [F.xxhash64("_i", F.lit(seed + r), F.lit(f)), F.col("_i")], "_j").select(F.col("_j").alias("_i"), f)
-            losses.append(base - quality(numbered.drop(f).join(moved, "_i")))
-        rows.append((f, sum(losses) / repeats))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
+    donors = numbered.withColumn("_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).select(
+        ((F.col("_i") - 1 + shuffle_step(F.col("_i_of"), F.col("_repeat"), seed)) % F.col("_i_of") + 1).alias("_i"),
+        "_repeat", F.struct(*names).alias("_other"),
+    )
+    variants = F.array(*[
+        F.struct(F.lit(f).alias("feature"), *[F.col(f"_other.{g}" if g == f else g).alias(g) for g in names]) for f in names
+    ])
+    moved = numbered.join(donors, "_i").select(F.col(label).alias("_y"), "_repeat", F.explode(variants).alias("_v"))
+    moved = moved.select("_y", "_repeat", "_v.*")
+    base = numbered.select(F.col(label).alias("_y"), F.lit(-1).alias("_repeat"), F.lit("").alias("feature"), *names)
+    scored = model.score(base.unionByName(moved))
+    quality = materialise(model_quality(model, scored, "_y", metric, ["feature", "_repeat"]), "permutation-quality")
+    unmoved = quality.where("_repeat < 0").select("value").scalar()
+    lost = quality.where("_repeat >= 0").groupBy("feature").agg(F.avg("value").alias("moved"))
+    return lost.select("feature", (unmoved - F.col("moved")).alias("importance")).orderBy(F.desc("importance"), "feature")
+
+
+def importance(model: HazardModel, held_out: DataFrame, label: str, ids: list[str], **options) -> DataFrame:
+    """By algorithm: permutation on held-out rows for the histogram learners, gain for the others."""
+    if model.algorithm in ("hgbc", "hgbr"):
+        return permutation_importance(model, held_out, label, ids, **options)
+    return feature_importance(model)
 
 
 @dataclass(frozen=True)

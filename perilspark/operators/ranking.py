@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .ordered import dense_rank_levels, ordered_row_number
 
 
+def _class_of(rank: str, of: str, quantiles: int) -> Column:
+    steps, last = f"(({rank} - 1) * {quantiles})", f"greatest({of} - 1, 1)"
+    # Ceiling in whole numbers: no rounding error at class borders.
+    return F.expr(f"cast(greatest(1, ({steps} + {last} - 1) div {last}) as int)")
+
+
 def quantile_class(df: DataFrame, score: str, group: list[str], quantiles: int, ties: list[str], name: str) -> DataFrame:
     """Equal-frequency class per group, 1 = highest scores.
 
@@ -16,14 +23,21 @@ def quantile_class(df: DataFrame, score: str, group: list[str], quantiles: int,
     """
     by = [F.col(score).isNull(), -F.col(score), *map(F.col, ties)]
     ranked = ordered_row_number(df, group, by, "_r")
-    steps, last = (F.col("_r") - 1) * quantiles, F.greatest(F.col("_r_of") - 1, F.lit(1))
-    # Ceiling in whole numbers: no rounding error at class borders.
-    whole = F.expr("(steps + last - 1) div last")
-    return (
-        ranked.withColumns({"steps": steps, "last": last})
-        .withColumn(name, F.greatest(F.lit(1), whole).cast("int"))
-        .drop("steps", "last", "_r", "_r_of")
-    )
+    return ranked.withColumn(name, _class_of("_r", "_r_of", quantiles)).drop("_r", "_r_of")
+
+
+def quantile_classes(df: DataFrame, scores: dict[str, str], group: list[str], quantiles: int, ties: list[str]) -> DataFrame:
+    """``quantile_class`` of several scores (name of the class by score), ranked together in one long pass.
+
+    ``df`` is a written table: its rows get a number that later reads repeat. A
+    narrow row per score is ranked; classes come back by that number.
+    """
+    numbered = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "quantile-rows")
+    each = F.array(*[F.struct(F.lit(name).alias("_score"), F.col(s).cast("double").alias("_p")) for s, name in scores.items()])
+    long = numbered.select("_row", *group, *[t for t in ties if t not in group], F.explode(each).alias("e")).select("*", "e._score", "e._p").drop("e")
+    found = quantile_class(long, "_p", [*group, "_score"], quantiles, [*ties, "_row"], "_class")
+    wide = found.groupBy("_row").agg(*[F.max(F.when(F.col("_score") == name, F.col("_class"))).alias(name) for name in scores.values()])
+    return numbered.join(wide, "_row").drop("_row")
 
 
 def rank_trials(trials: DataFrame, gap: str = "gap_train_test", score: str = "mean_test_score") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.keys import hash_key
 from ..session import materialise
 from .columns import drop_missing
 from .joins import broadcast_if_small
@@ -50,12 +51,27 @@ def backtest_flag(df: DataFrame, split: str, n_slices: int = 0, frac_slices: flo
 
 
 def holdout_groups(df: DataFrame, group: str, fraction: float, stratify: str | None = None, seed: int = 42) -> DataFrame:
-    """Groups held out: the first share of each stratum in hash order."""
+    """Groups held out: the first of each stratum in hash order.
+
+    The share is rounded up over all groups; strata get their part of it rounded
+    down, and what is left goes to the largest remainders, the first stratum
+    by name among equals.
+    """
     strata = [stratify] if stratify else []
-    groups = df.select(group, *strata).distinct()
-    hashed = groups.withColumn("_h", F.xxhash64(group, F.lit(seed)))
-    ranked = ordered_row_number(hashed, strata, [F.col("_h"), F.col(group)], "_r")
-    return ranked.where(F.col("_r") <= F.ceil(F.col("_r_of") * fraction)).select(group).distinct()
+    ranked = ordered_row_number(df.select(group, *strata).distinct(), strata, [hash_key(group, F.lit(seed)), F.col(group)], "_r")
+    if not strata:
+        return ranked.where(F.col("_r") <= F.ceil(F.round(F.col("_r_of") * fraction, 9))).select(group)
+    # One row per stratum.
+    sizes = ranked.groupBy(stratify).agg(F.max("_r_of").alias("n"))
+    whole = sizes.agg(F.struct(F.ceil(F.round(F.sum("n") * fraction, 9)).alias("out"), F.sum("n").alias("n")).alias("t")).scalar()
+    exact = F.col("n") * whole["out"] / whole["n"]
+    quota = sizes.select(stratify, F.floor(F.round(exact, 9)).alias("q"), (exact - F.floor(F.round(exact, 9))).alias("rest"))
+    line = Window.partitionBy(F.lit(1))
+    left = whole["out"] - F.sum("q").over(line)
+    first = F.row_number().over(line.orderBy(F.round("rest", 9).desc(), F.col(stratify)))
+    quota = quota.select(F.col(stratify).alias("_stratum"), (F.col("q") + F.when(first <= left, 1).otherwise(0)).alias("_quota"))
+    held = ranked.join(quota, ranked[stratify].eqNullSafe(quota["_stratum"])).where(F.col("_r") <= F.col("_quota"))
+    return held.select(group).distinct()
 
 
 def assign_subsets(
@@ -92,7 +108,7 @@ def shuffle_folds(df: DataFrame, group: str, folds: int = 4, test_fraction: floa
     months = df.select(group).distinct()
     per_fold = months.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
     fold = Window.partitionBy("fold")
-    order = fold.orderBy(F.xxhash64(group, "fold", F.lit(seed)), group)
+    order = fold.orderBy(hash_key(group, "fold", F.lit(seed)), group)
     ranked = per_fold.withColumns({"_r": F.row_number().over(order), "_n": F.count(F.lit(1)).over(fold)})
     return ranked.where(F.col("_r") <= F.ceil(F.col("_n") * test_fraction)).select("fold", group)
 

@@ -13,16 +13,21 @@ from pyspark.sql import functions as F
 from ..functions.flags import AlertThresholds
 from ..operators.columns import as_categories
 from ..operators.learners import (
+    LEARNER,
     HazardModel,
     calibrate,
+    class_weights,
     draw_trials,
     feature_importance,
+    fit_features,
     fit_learner,
+    fit_trees,
+    importance,
     is_classifier,
     parameter_space,
 )
 from ..operators.metrics import auc, metric_rows, multiclass_report, one_vs_rest, regression_metrics, side_by_side
-from ..operators.ranking import best_trials, quantile_class, rank_trials
+from ..operators.ranking import best_trials, quantile_classes, rank_trials
 from ..operators.split import BACKTEST, OUT, TRAIN, assign_subsets, shuffle_folds
 from ..session import materialise
 from .alerts import with_alert_levels
@@ -90,25 +95,52 @@ def resolve_scorer(scorer: str | Callable) -> Callable:
     return SCORERS[scorer]
 
 
-def cross_validate(
-    train: DataFrame, spec: ModelSpec, params: dict, test_months: dict[int, list[str]], scorer: Callable
-) -> tuple[float, float]:
+@dataclass
+class Fold:
+    """Feature stages of a fold, fitted on its training part, and all its rows with their features, written once."""
+
+    number: int
+    rows: DataFrame
+    bins: int
+
+
+def prepare_folds(train: DataFrame, spec: ModelSpec, test_months: dict[int, list[str]]) -> list[Fold]:
+    """Index, impute and bin once per fold; every trial reads these tables."""
+    typed = train.where(F.col(spec.label).isNotNull()).withColumns({c: F.col(c).cast("double") for c in spec.numeric})
+    out = []
+    for number, months in test_months.items():
+        marked = typed.withColumn("_test", F.col(spec.split).isin(months))
+        stages, bins = fit_features(marked.where(~F.col("_test")), spec.numeric, spec.categorical)
+        kept = stages.transform(marked).select(spec.label, "_test", "features")
+        out.append(Fold(number, materialise(kept, "fold"), bins))
+    return out
+
+
+def cross_validate(folds: list[Fold], spec: ModelSpec, params: dict, scorer: Callable) -> tuple[float, float]:
     """Mean train and test score of one parameter set over the folds."""
     pairs = []
-    for months in test_months.values():
-        testing = F.col(spec.split).isin(months)
-        fold_train, fold_test = train.where(~testing), train.where(testing)
-        model = _fit(fold_train, spec, params)
-        pairs.append((scorer(model, fold_train, spec), scorer(model, fold_test, spec)))
+    for fold in folds:
+        training, testing = fold.rows.where(~F.col("_test")), fold.rows.where(F.col("_test"))
+        ready = class_weights(training, spec.label, spec.algorithm, params, spec.n_classes)
+        ready = ready.withColumn("_label", F.col(spec.label).cast("double"))
+        model = fit_trees(ready, spec.algorithm, spec.categorical + spec.numeric, fold.bins, params, spec.n_classes)
+        pairs.append((scorer(model, training, spec), scorer(model, testing, spec)))
     return tuple(sum(p[i] for p in pairs) / len(pairs) for i in (0, 1))
 
 
+# Columns of the trial table. Choices are kept as text, since a choice may be one.
 TRIAL_SCHEMA = (
-    "date string, algorithm string, trial_number int, params map<string,double>, state string, "
+    "date string, algorithm string, trial_number int, params map<string,string>, state string, "
     "mean_test_score double, mean_train_score double, gap_train_test double"
 )
 
 
+# Columns of a model's specification, and what stands behind the configured name.
+SPECIFICATION_SCHEMA = (
+    "date string, target string, params_split string, algorithm string, params_algorithm string, num_variables int, learner string"
+)
+
+
 @dataclass
 class RunResult:
     predictions: DataFrame
@@ -117,6 +149,7 @@ class RunResult:
     model: HazardModel
     trials: DataFrame | None = None
     specification: DataFrame | None = None
+    best_params: dict | None = None
 
 
 def _report(model: HazardModel, predictions: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -133,18 +166,20 @@ def tune(
 ) -> RunResult:
     """Random search scored on group folds, then a refit of the best set.
 
-    Fits run as Spark jobs; a few driver threads keep the cluster busy.
+    Feature stages are fitted once per fold, not per trial. Fits run as Spark
+    jobs; a few driver threads keep the cluster busy.
     """
     score = resolve_scorer(scorer)
     train = prepared.where(F.col("subset") == TRAIN)
     drawn = shuffle_folds(train, spec.split, folds, test_fraction, seed).collect()  # months x folds
     test_months = {f: [r[spec.split] for r in drawn if r["fold"] == f] for f in range(folds)}
+    parts = prepare_folds(train, spec, test_months)
     trials = draw_trials(parameter_space(space), n_trials, seed)
     now = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
 
     def run(number: int) -> tuple:
-        fit_score, test_score = cross_validate(train, spec, trials[number], test_months, score)
-        params = {k: float(v) for k, v in trials[number].items()}
+        fit_score, test_score = cross_validate(parts, spec, trials[number], score)
+        params = {k: str(v) for k, v in trials[number].items()}
         return now, spec.algorithm, number, params, "COMPLETE", test_score, fit_score, fit_score - test_score
 
     with ThreadPoolExecutor(workers) as pool:
@@ -153,30 +188,33 @@ def tune(
     best = best_trials(ranked).first()["trial_number"]
     model = _fit(train, spec, trials[best])
     predictions = model.score(prepared)
-    return RunResult(predictions, _report(model, predictions, spec), feature_importance(model), model, ranked)
+    return RunResult(predictions, _report(model, predictions, spec), feature_importance(model), model, ranked, None, trials[best])
 
 
 def final_model(prepared: DataFrame, spec: ModelSpec, params: dict, time: str = "time", ties: list[str] = ()) -> RunResult:
     """Fit on train, calibrate on backtest and out-of-sample, score all.
 
-    Predictions get a quantile class per group and class probability.
+    Predictions get a quantile class per group and class probability. Where
+    ``ties`` identify a row, learners that have no gain get their importance by
+    permutation of the held-out rows.
     """
     model = _fit(prepared.where(F.col("subset") == TRAIN), spec, params)
     if is_classifier(spec.algorithm) and spec.n_classes == 2:
         model = calibrate(model, prepared.where(F.col("subset") != TRAIN), spec.label)
     predictions = model.score(prepared)
     if is_classifier(spec.algorithm) and spec.group:
-        predictions = materialise(predictions, "predictions")
-        for i in range(spec.n_classes):
-            predictions = quantile_class(
-                predictions, f"prob_class_{i}", [spec.group], spec.quantiles, [time, *ties], f"quantile_class_{i}"
-            )
+        names = {f"prob_class_{i}": f"quantile_class_{i}" for i in range(spec.n_classes)}
+        predictions = quantile_classes(predictions, names, [spec.group], spec.quantiles, [time, *ties])
     split = {"group_fraction": spec.group_fraction, "months_backtest": spec.months_backtest}
-    about = [(dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"), spec.label, str(split), spec.algorithm, str(params), len(model.features))]
-    specification = prepared.sparkSession.createDataFrame(
-        about, "date string, target string, params_split string, algorithm string, params_algorithm string, num_variables int"
-    )
-    return RunResult(predictions, _report(model, predictions, spec), feature_importance(model), model, None, specification)
+    now = dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    about = [(now, spec.label, str(split), spec.algorithm, str(params), len(model.features), LEARNER)]
+    specification = prepared.sparkSession.createDataFrame(about, SPECIFICATION_SCHEMA)
+    if ties:
+        held_out = prepared.where(F.col("subset") != TRAIN)
+        gains = importance(model, held_out, spec.label, list(ties))
+    else:
+        gains = feature_importance(model)
+    return RunResult(predictions, _report(model, predictions, spec), gains, model, None, specification, params)
 
 
 def predict(master: DataFrame, model: HazardModel, categorical: list[str], thresholds: AlertThresholds, keep: list[str]) -> DataFrame:

@@ -39,7 +39,7 @@ def test_subsets_cover_and_do_not_overlap(prepared, master):
     rows = prepared.collect()
     assert len(rows) == master.count() and {r["subset"] for r in rows} == {"train", "backtest", "out_of_sample"}
     out = {r["station_id"] for r in rows if r["subset"] == "out_of_sample"}
-    assert len(out) == 6 and not out & {r["station_id"] for r in rows if r["subset"] != "out_of_sample"}
+    assert len(out) == 5 and not out & {r["station_id"] for r in rows if r["subset"] != "out_of_sample"}
     train, late = ({r["yearmon"] for r in rows if r["subset"] == s} for s in ("train", "backtest"))
     assert len(late) == 3 and max(train) < min(late)
 
