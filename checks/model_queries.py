@@ -141,7 +141,7 @@ def prepare_subsets(spark, folder):
 
 def grouped_subsets(spark, folder):
     out = assign_subsets(months(spark, folder), 12, group="o_custkey", fraction=0.2, stratify="o_orderpriority", required=["value"])
-    return out.groupBy("subset", "yearmon").agg(F.count(F.lit(1)).alias("n"))
+    return out.select("o_orderkey", "o_custkey", "o_orderpriority", "yearmon", "subset")
 
 
 def backtest_months(spark, folder):
@@ -159,15 +159,15 @@ def slice_share(spark, folder):
 
 
 def stratified_holdout(spark, folder):
-    """How many customers each segment gives to the hold-out."""
+    """The customers held out of each segment."""
     c = table(spark, folder, "customer")
     held = holdout_groups(c, "c_custkey", 0.2, "c_mktsegment")
-    return c.join(held, "c_custkey").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("held_out"))
+    return c.join(held, "c_custkey").select("c_mktsegment", "c_custkey")
 
 
 def group_folds(spark, folder):
-    """How many months each fold tests on."""
-    return shuffle_folds(months(spark, folder), "yearmon", 4, 0.25).groupBy("fold").agg(F.count(F.lit(1)).alias("n_test"))
+    """The months each fold tests on."""
+    return shuffle_folds(months(spark, folder), "yearmon", 4, 0.25)
 
 
 def auc_gini(spark, folder):
@@ -442,6 +442,20 @@ _TRIALS = """
 """
 _CUM = "with m as ({0}), c as (select yearmon, count(*) as n from m group by 1), s as (select yearmon, n, n / sum(n) over () as share, sum(n) over (order by yearmon desc) / sum(n) over () as cum_share from c)".format(MONTHS)
 
+
+
+def held_sql(source: str, group: str, stratum: str, fraction: str = "0.2e0") -> str:
+    """CTEs ending in ``held``: groups held out, the share rounded up over all, parts by largest remainder."""
+    return f"""
+        g as (select distinct {group}, {stratum} from {source}),
+        g1 as (select *, row_number() over (partition by {stratum} order by md5(concat_ws('|', {group}, 42)), {group}) as r from g),
+        sizes as (select {stratum}, count(*) as n, sum(count(*)) over () as total from g group by 1),
+        wanted as (select *, ceil(round(total * {fraction}, 9)) as out_all, n * ceil(round(total * {fraction}, 9)) / total as exact from sizes),
+        parts as (select *, floor(round(exact, 9)) as q, round(exact - floor(round(exact, 9)), 9) as rest from wanted),
+        quota as (select {stratum}, q + case when row_number() over (order by rest desc, {stratum}) <= out_all - sum(q) over () then 1 else 0 end as q from parts),
+        held as (select g1.* from g1 join quota using ({stratum}) where r <= q)"""
+
+
 ORACLES = {
     "align_features": f"with {_FEATURES} select lon, lat, time, round(t2m, 6) as t2m, tp, altitude, {_TIME} from feats",
     "master_predict": f"with {_features_sql('1998-02-10', '1998-02-10')} select lon, lat, time, round(t2m, 6) as t2m, tp, altitude, {_TIME} from feats",
@@ -464,11 +478,16 @@ ORACLES = {
     "backtest_fraction": f"""
         {_CUM} select o_orderkey, m.yearmon, case when cum_share < 0.2 then 1 else 0 end as backtest from m join s on s.yearmon = m.yearmon""",
     "slice_shares": f"{_CUM} select yearmon, n, round(share, 9) as share, round(cum_share, 9) as cum_share from s",
-    "stratified_holdout": """
-        select c_mktsegment, cast(ceil(count(*) * 0.2e0) as bigint) as held_out from customer group by 1""",
+    "stratified_holdout": f"with {held_sql('customer', 'c_custkey', 'c_mktsegment')} select c_mktsegment, c_custkey from held",
+    "prepare_subsets_grouped": f"""
+        with m as (select * from ({MONTHS}) where value is not null), {held_sql('m', 'o_custkey', 'o_orderpriority')},
+        late as (select distinct yearmon from m where o_custkey not in (select o_custkey from held) order by 1 desc limit 12)
+        select o_orderkey, o_custkey, o_orderpriority, yearmon, case when o_custkey in (select o_custkey from held) then 'out_of_sample'
+               when yearmon in (select yearmon from late) then 'backtest' else 'train' end as subset from m""",
     "group_folds": f"""
-        with m as (select count(distinct yearmon) as n from ({MONTHS}))
-        select cast(f as int) as fold, cast(ceil(n * 0.25e0) as bigint) as n_test from m, generate_series(0, 3) g(f)""",
+        select cast(fold as int) as fold, yearmon from (
+            select fold, yearmon, row_number() over (partition by fold order by md5(concat_ws('|', yearmon, fold, 42)), yearmon) as r, count(*) over (partition by fold) as n
+            from (select distinct yearmon from ({MONTHS})), generate_series(0, 3) g(fold)) where r <= ceil(n * 0.25e0)""",
     "auc_gini": " union all ".join([
         _auc_part("tied", FLAG_SCORES, "p_tied"), _auc_part("fine", FLAG_SCORES, "p_fine"), _auc_part("toxic", TOXIC_SCORES, "p")]),
     "ks": f"{_ks_part('tied', 'p_tied')} union all {_ks_part('fine', 'p_fine')}",

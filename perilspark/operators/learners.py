@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import PCA, Imputer, QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, Imputer, QuantileDiscretizer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -212,7 +212,8 @@ def fit_features(train: DataFrame, numeric: list[str], categorical: list[str]) -
     among training quantiles, so that every tree of every trial, fold and class
     finds its splits among the same few codes.
     """
-    coded, filled, binned = ([f"{c}_{end}" for c in columns] for columns, end in ((categorical, "code"), (numeric, "filled"), (numeric, "bin")))
+    coded = [f"{c}_code" for c in categorical]
+    filled, binned, placed = ([f"{c}_{end}" for c in numeric] for end in ("filled", "bin", "place"))
     stages, bins = [], MIN_BINS
     if categorical:
         indexer = StringIndexer(inputCols=categorical, outputCols=coded, handleInvalid="keep").fit(train)
@@ -221,7 +222,10 @@ def fit_features(train: DataFrame, numeric: list[str], categorical: list[str]) -
     if numeric:
         stages.append(Imputer(inputCols=numeric, outputCols=filled, strategy="median"))
         stages.append(QuantileDiscretizer(inputCols=filled, outputCols=binned, numBuckets=MIN_BINS, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=coded + binned, outputCol="features"))
+        # Buckets are marked as names; a sum is a plain number again, which trees split by its order.
+        plain = ", ".join(f"`{b}` + 0D AS `{p}`" for b, p in zip(binned, placed))
+        stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
+    stages.append(VectorAssembler(inputCols=coded + placed, outputCol="features"))
     return Pipeline(stages=stages).fit(train), bins
 
 
@@ -318,7 +322,7 @@ def permutation_importance(
     """
     metric = metric or ("accuracy" if is_classifier(model.algorithm) else "r2")
     names, known = model.features, df.where(F.col(label).isNotNull())
-    numbered = ordered_row_number(known.select(label, *ids, *[c for c in names if c not in (label, *ids)]), [], [hash_key(*ids), *map(F.col, ids)], "_i")
+    numbered = ordered_row_number(known.select(*dict.fromkeys([label, *ids, *names])), [], [hash_key(*ids), *map(F.col, ids)], "_i")
     numbered = materialise(numbered, "permutation-rows")
     donors = numbered.withColumn("_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).select(
         ((F.col("_i") - 1 + shuffle_step(F.col("_i_of"), F.col("_repeat"), seed)) % F.col("_i_of") + 1).alias("_i"),
