@@ -18,6 +18,7 @@ from perilspark.sources.tables import (
     export_csv,
     extract,
     overwrite_partitions,
+    read_keyed,
     read_period,
     read_table,
     request_status,
@@ -169,6 +170,22 @@ def stream_score(spark, folder):
     return spark.read.schema(schema).parquet(out).select("cell", F.col("step").cast("bigint").alias("step"), "time", "price", "pred_target", "alert_level")
 
 
+def stream_refresh(spark, folder):
+    """Three files in three batches: repeated forecasts, an old one that comes late, all of it replayed."""
+    landing, out = run_dir(spark, "landing"), run_dir(spark, "refreshed")
+    items = table(spark, folder, "lineitem")
+    days = items.groupBy((F.col("l_suppkey") % 50).alias("cell"), F.to_date("l_shipdate").alias("time")).agg(F.round(F.sum("l_extendedprice"), 2).alias("price"))
+    issue = lambda n, every, by: days.where(F.col("cell") % every == 0).select("cell", "time", F.round(F.col("price") * by, 2).alias("price"), F.lit(n).alias("issue"))
+    for i, file in enumerate((issue(1, 1, 1), issue(2, 2, 2), issue(3, 3, 3).unionByName(issue(0, 5, 100)))):
+        file.coalesce(1).write.parquet(f"{landing}/{i}")
+    schema = spark.read.parquet(f"{landing}/0").schema
+    score = lambda batch: batch.withColumn("yearmon", F.date_format("time", "yyyyMM"))
+    for run in ("first", "replay"):
+        stream = forecast_stream(spark, f"{landing}/*", schema, per_batch=1)
+        refresh_scores(stream, score, out, run_dir(spark, f"progress-{run}"), ["cell", "time", "yearmon"], issued="issue")
+    return read_keyed(spark, out).select("cell", "time", "price", "issue")
+
+
 def stream_dedupe(spark, folder):
     """One row per user and day from an event stream."""
     out, checkpoint = run_dir(spark, "dedupe"), run_dir(spark, "dedupe-progress")
@@ -193,6 +210,7 @@ QUERIES = {
     "extract_range": extract_range,
     "extract_status": extract_status,
     "stream_score": stream_score,
+    "stream_refresh": stream_refresh,
     "stream_dedupe": stream_dedupe,
 }
 
@@ -246,5 +264,9 @@ ORACLES = {
               join normals c on c.cell = s.cell and c.step = s.step and c.week = weekofyear(s.time)),
         p as (select cell, step, time, price, round(1 / (1 + exp(2 - anom)), 6) as pred_target from a where anom is not null)
         select cell, cast(step as bigint) as step, time, price, pred_target, {LEVEL} as alert_level from p""",
+    "stream_refresh": """
+        with d as (select l_suppkey % 50 as cell, cast(l_shipdate as date) as time, round(sum(l_extendedprice), 2) as price from lineitem group by 1, 2),
+        i as (select *, case when cell % 3 = 0 then 3 when cell % 2 = 0 then 2 else 1 end as issue from d)
+        select cell, time, round(price * issue, 2) as price, issue from i""",
     "stream_dedupe": "select user_id, cast(ts as date) as day, count(distinct 1) as n from events group by 1, 2",
 }

@@ -75,7 +75,7 @@ def mean_over_leads(df: DataFrame, values: list[str], steps: list[int], keys: li
     return df.where(F.col(step).isin(*steps)).groupBy(*keys).agg(*[F.avg(v).alias(v) for v in values])
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """One row per key, the first in ``order``.
 
     An aggregate, not a window: repeated runs of one day are reduced before
@@ -83,7 +83,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     """
     rest = [c for c in df.columns if c not in keys]
     # Order by the stated columns, then by the others so that ties repeat exactly.
-    ranked = F.struct(*order, *[c for c in rest if c not in order])
+    named = {c for c in order if isinstance(c, str)}
+    ranked = F.struct(*order, *[c for c in rest if c not in named])
     return df.groupBy(*keys).agg(F.min(ranked).alias("_first")).select(*[
         c if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns
     ])

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -74,28 +76,91 @@ def read_period(spark: SparkSession, path: str, start: dt.date | str, end: dt.da
     return _partition_text(table.where(month.between(*bounds) & period.between(time)), partition)
 
 
-def upsert(new: DataFrame, path: str, keys: list[str], partition: str = "yearmon", order: list[str] | None = None) -> None:
+MANIFEST = "_manifest"
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """What a keyed table holds: its schema and partitions, written with every batch.
+
+    A batch so neither lists the table nor reads its footers. Every record has
+    the whole state; the last counts. Spark's readers skip the folder.
+    """
+
+    number: int
+    schema: StructType
+    partitions: list[str]
+
+    @classmethod
+    def of(cls, spark: SparkSession, path: str, partition: str) -> Manifest | None:
+        """The last record; of a table without one, what its files say; None where there is no table."""
+        try:
+            rows = spark.read.schema("number long, schema string, partitions array<string>").json(f"{path}/{MANIFEST}")
+            last = rows.orderBy(F.desc("number")).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            last = None
+        if last is not None:
+            return cls(last["number"], StructType.fromJson(json.loads(last["schema"])), list(last["partitions"]))
+        try:
+            table = _partition_text(read_table(spark, path, merge=True), partition)
+        except FileNotFoundError:
+            return None
+        return cls(0, table.schema, [r[0] for r in table.select(partition).distinct().collect()])
+
+    def write(self, spark: SparkSession, path: str) -> None:
+        row = [(self.number, json.dumps(self.schema.jsonValue()), self.partitions)]
+        df = spark.createDataFrame(row, "number long, schema string, partitions array<string>")
+        df.coalesce(1).write.mode("append").json(f"{path}/{MANIFEST}")
+
+
+def read_keyed(spark: SparkSession, path: str, partition: str = "yearmon", only: Sequence[str] | None = None) -> DataFrame:
+    """A table that ``upsert`` keeps, by its manifest: no footer is read, and of ``only`` some partitions no other listed."""
+    manifest = Manifest.of(spark, path, partition)
+    if manifest is None:
+        raise FileNotFoundError(f"no table at {path}")
+    reader = spark.read.schema(manifest.schema)
+    if only is None:
+        return reader.parquet(path)
+    chosen = sorted(set(only) & set(manifest.partitions))
+    if not chosen:
+        return spark.createDataFrame([], manifest.schema)
+    return reader.option("basePath", path).parquet(*[f"{path}/{partition}={value}" for value in chosen])
+
+
+def upsert(new: DataFrame, path: str, keys: list[str], partition: str = "yearmon", order: list[str] | None = None, issued: str | None = None) -> None:
     """Replace rows with equal keys, insert the others.
 
     Of several new rows with one key the first by ``order`` (then by the other
-    columns) is taken; null keys are a key like others.
-    Only partitions that receive rows are read and rewritten. The partition
-    column must follow from the keys. The merged rows are written aside first,
-    so the table is never read and replaced in one job.
+    columns) is taken; null keys are a key like others. ``issued`` names a
+    column that tells versions of a row apart: the highest stays, among new
+    and stored rows alike, so a late file never replaces a newer row.
+    Only partitions that receive rows are read and rewritten, in two writes:
+    the new rows aside, so that they are computed once, and the merged
+    partitions, which Spark swaps in when all of them are written. The
+    partition column must follow from the keys.
     """
     spark = new.sparkSession
-    fresh = _partition_text(materialise(first_per_key(new, keys, order or []), "upsert-new"), partition)
-    try:
-        # The merge schema keeps old tables readable after a new column came.
-        old = _partition_text(read_table(spark, path, merge=True), partition)
-    except FileNotFoundError:
-        return overwrite_partitions(fresh, path, partition)
-    touched = fresh.agg(F.collect_set(partition)).scalar()  # partition values: months or days
-    names = fresh.select(*[F.col(k).alias(f"_new_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys]
-    kept = old.where(F.array_contains(touched, F.col(partition))).join(names, same, "left_anti")
-    merged = fresh.unionByName(kept, allowMissingColumns=True)
-    return overwrite_partitions(materialise(merged, "upsert-merged"), path, partition)
+    fresh = _partition_text(materialise(new, "upsert-new"), partition)
+    touched = [r[0] for r in fresh.select(partition).distinct().collect()]  # months or days
+    manifest = Manifest.of(spark, path, partition)
+    rows = fresh.withColumn("_stored", F.lit(False))
+    if manifest is not None:
+        stored = read_keyed(spark, path, partition, touched)
+        rows = rows.unionByName(stored.withColumn("_stored", F.lit(True)), allowMissingColumns=True)
+    newest = [] if issued is None else [F.col(issued).isNull().alias("_unissued"), (-_as_number(rows, issued)).alias("_issue")]
+    merged = first_per_key(rows, keys, [*newest, "_stored", *(order or [])]).drop("_stored")
+    overwrite_partitions(merged, path, partition)
+    known = set(manifest.partitions) if manifest else set()
+    Manifest(manifest.number + 1 if manifest else 1, merged.schema, sorted(known | set(touched))).write(spark, path)
+
+
+def _as_number(df: DataFrame, column: str) -> Column:
+    kind = dict(df.dtypes)[column]
+    if kind == "date":
+        return F.unix_date(column)
+    return F.unix_micros(column) if kind == "timestamp" else F.col(column)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -24,17 +24,19 @@ def refresh_scores(
     checkpoint: str,
     keys: list[str],
     partition: str = "yearmon",
+    issued: str | None = None,
 ) -> None:
     """Score every batch and merge it into the result table.
 
     ``score`` maps a batch of raw forecast rows to result rows: anomalies
     against a stored climatology (a stream-static join), probabilities, alert
     levels. The merge goes by ``keys``, so a replayed batch or a repeated
-    forecast leaves one row per key. Runs over what has landed, then stops.
+    forecast leaves one row per key: that of the latest ``issued`` time, in
+    whatever order files come. Runs over what has landed, then stops.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert(score(batch), out, keys, partition)
+        upsert(score(batch), out, keys, partition, issued=issued)
 
     query = (
         stream.writeStream.foreachBatch(merge)

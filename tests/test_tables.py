@@ -9,6 +9,7 @@ from perilspark.functions.temporal import Calendar
 from perilspark.sources.tables import (
     extract,
     overwrite_partitions,
+    read_keyed,
     read_period,
     read_table,
     request_status,
@@ -101,3 +102,27 @@ def test_upsert_keeps_one_row_per_key(spark, tmp_path):
     upsert(spark.createDataFrame([(None, "a", 2.0), (2, "a", 3.0)], "k int, yearmon string, v double"), path, ["k", "yearmon"])
     rows = {(r["k"], r["v"]) for r in spark.read.parquet(path).collect()}
     assert rows == {(1, 4.0), (None, 2.0), (2, 3.0)}
+
+
+def test_manifest_serves_a_table(spark, tmp_path):
+    """Files and schema come from the manifest: new columns, tables from before it, partitions that no batch touches."""
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "202401", 1.0), (2, "202402", 2.0)], "k int, yearmon string, v double")
+    overwrite_partitions(rows, path)  # a table without a manifest
+    upsert(spark.createDataFrame([(1, "202401", 5.0, "x")], "k int, yearmon string, v double, note string"), path, ["k", "yearmon"])
+    upsert(spark.createDataFrame([(3, "202403", 3.0)], "k int, yearmon string, v double"), path, ["k", "yearmon"])
+    got = {r["k"]: (r["yearmon"], r["v"], r["note"]) for r in read_keyed(spark, path).select("k", F.col("yearmon").cast("string"), "v", "note").collect()}
+    assert got == {1: ("202401", 5.0, "x"), 2: ("202402", 2.0, None), 3: ("202403", 3.0, None)}
+    assert {r["k"] for r in read_keyed(spark, path, only=["202403", "209901"]).collect()} == {3}
+    assert read_keyed(spark, path, only=["209901"]).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_keyed(spark, str(tmp_path / "none"))
+
+
+def test_latest_issue_wins_in_any_order(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, yearmon string, v double, issued date"
+    at = lambda d: dt.date(2024, 1, d)
+    upsert(spark.createDataFrame([(1, "202401", 9.0, at(1)), (1, "202401", 1.0, at(2)), (2, "202401", 7.0, None), (3, "202401", 4.0, at(5))], schema), path, ["k", "yearmon"], issued="issued")
+    upsert(spark.createDataFrame([(1, "202401", 8.0, at(1)), (2, "202401", 6.0, at(1)), (3, "202401", 5.0, at(5))], schema), path, ["k", "yearmon"], issued="issued")
+    # A late old file loses, a row without a time loses to any other, of equal times the newer batch stays.
+    assert {r["k"]: r["v"] for r in read_keyed(spark, path).collect()} == {1: 1.0, 2: 6.0, 3: 5.0}
