@@ -316,12 +316,20 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
-def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def whole_characters(body: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Bytes of the UTF-8 characters that lost none of theirs."""
+    first = (body & 0xC0) != 0x80
+    broken = np.logical_or.reduceat(gone, np.flatnonzero(first))
+    return body[~broken[np.cumsum(first) - 1]]
+
+
+def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", characters: bool = False) -> DataFrame:
     """``key``, ``doc`` (the whole input row), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (binary) and ``kept_sha256``.
 
     Texts are UTF-8 bytes, null an empty one, and matches never cross documents; a text of under 200 bytes keeps all. All places of a
     repeated string go, within one document too, judged on the input. Equal rows are documents of their own, so
-    each repeats the other. An empty table gives no rows; other columns are only carried in ``doc``.
+    each repeats the other. An empty table gives no rows; other columns are only carried in ``doc``. With ``characters``,
+    ``kept`` is text: a character that a cut went through goes whole, every other byte stays; the rest is as without.
     """
     row = F.xxhash64(F.lit("row"), F.col(key), F.col(text))
     rows = docs.select(row.alias("row"), as_bytes(text).alias("body"))
@@ -341,7 +349,7 @@ def suffix_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 sizes.append(len(body))
                 removed.append(len(body) - len(rest))
                 number.append(len(spans(gone)[0]))
-                kept.append(rest)
+                kept.append(whole_characters(np.frombuffer(body, np.uint8), gone).tobytes() if characters and pairs else rest)
                 digest.append(hashlib.sha256(rest).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(number, pa.int64()), pa.array(kept, pa.binary()), pa.array(digest, pa.string())],
