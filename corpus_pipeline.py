@@ -22,7 +22,10 @@ QUALITY = 0.7
 
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the classifier, trained on labelled rows outside the held-out quarter, does not reject."""
+    """Documents that the classifier, trained on labelled rows outside the held-out quarter, does not reject.
+
+    Null and empty texts are scored like others. Rows of one key go together if one of them is rejected.
+    """
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     scores = score_quality(docs, labels, crc_part("doc_id", 4) != 2)
     rejected = scores.where(F.col("score") < QUALITY).select("doc_id").distinct()
@@ -30,31 +33,32 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies: that of the smallest id."""
+    """One document of each group of near copies: that of the smallest id.
+
+    Texts without a word are alike, null ones too, so one of them stays.
+    """
     return simhash_dedup(docs).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents without the strings of 200 bytes that occur elsewhere in what is left; a cut character goes whole."""
-    kept = suffix_dedup(docs)
-    text = F.when(F.col("n_removed") > 0, clean_text("kept")).otherwise(F.col("doc")["text"])
+    """Documents without the strings of 200 bytes that occur elsewhere in what is left; a cut character goes whole.
+
+    Texts that lose nothing, null and empty ones among them, stay as they are; a text may become empty. All else in a
+    text stays, replacement characters too. Rows of equal keys are documents of their own.
+    """
+    kept = suffix_dedup(docs, characters=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("doc")["text"])
     columns = [text.alias(c) if c == "text" else F.char_length(text).cast("long").alias(c) if c == "n_chars" else F.col("doc")[c].alias(c) for c in docs.columns]
     return kept.select(*columns)
 
 
-def clean_text(column: str):
-    """UTF-8 bytes as text, without the parts of characters that a cut left."""
-    whole = F.col(column).cast("string")
-    return F.replace(F.make_valid_utf8(whole), F.lit("�"), F.lit(""))
-
-
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none. Rows of one key go together."""
     return decontaminate(docs, spark.read.parquet(f"{folder}/benchmark.parquet")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4096 tokens."""
+    """Pieces of the documents in sequences of at most 4096 tokens; null and empty texts are one token, the end."""
     return pack_documents(docs).drop("ids")
 
 
@@ -66,7 +70,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL can neither train the classifier nor tokenize; the stages are tested one by one.
+#: SQL can neither train the classifier nor tokenize; ``tests/llm/test_pipeline.py`` tests the stages one by one.
 ORACLE_SQL = None
 
 
