@@ -50,27 +50,27 @@ def nearest_points(
     places = targets.select(F.col(t_lon).cast("double").alias("tx"), F.col(t_lat).cast("double").alias("ty"))
     places = places.na.drop().distinct()
 
-    span = points.agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat")).first()
+    span = points.agg(F.min("lon"), F.max("lon"), F.min("lat"), F.max("lat"), F.count(F.lit(1))).first()
     if span[0] is None:
         raise ValueError("there are no sample points")
     x0, y0 = span[0], span[2]
     side = max(span[1] - x0, span[3] - y0) or 1.0
-    level = _leaf_level(points, x0, y0, side)
+    cells, level = _cells(points, x0, y0, side, span[4])
 
-    leaf = {"cx": _cell(F.col("lon"), x0, side, level), "cy": _cell(F.col("lat"), y0, side, level)}
-    points = points.withColumns(leaf)
-    counts = {level: materialise(points.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n")), "sample-cells")}
-    for upper in range(level - STEP, 0, -STEP):
-        parent = [F.shiftright(c, level - upper).alias(c) for c in ("cx", "cy")]
-        counts[upper] = counts[level].groupBy(*parent).agg(F.sum("n").alias("n"))
-
-    frontier = places.withColumns({"cx": F.lit(0).cast("long"), "cy": F.lit(0).cast("long")})
+    finest = {"cx": _cell(F.col("lon"), x0, side, MAX_LEVEL), "cy": _cell(F.col("lat"), y0, side, MAX_LEVEL)}
+    points = points.withColumns({name: F.shiftright(c, MAX_LEVEL - level) for name, c in finest.items()})
+    # The 16 cells of the first level by arithmetic; from there on a cell's children come by its number.
+    child = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4**STEP - 1).cast("long")))
+    frontier = places.withColumn("child", child).select("tx", "ty", (F.col("child") % 2**STEP).alias("cx"), F.shiftright("child", STEP).alias("cy"))
     for at in range(STEP, level + 1, STEP):
-        cells = counts[at].withColumns({"px": F.shiftright("cx", STEP), "py": F.shiftright("cy", STEP)})
+        own = cells.where(F.col("level") == at).drop("level")
         # At shallow levels a table of all possible cells is provably small.
-        if 4**at <= 65_536:
-            cells = F.broadcast(cells)
-        down = frontier.withColumnsRenamed({"cx": "px", "cy": "py"}).join(cells, ["px", "py"])
+        small = (lambda df: F.broadcast(df)) if 4**at <= 65_536 else (lambda df: df)
+        if at == STEP:
+            down = frontier.join(small(own), ["cx", "cy"])
+        else:
+            parents = own.withColumns({"px": F.shiftright("cx", STEP), "py": F.shiftright("cy", STEP)})
+            down = frontier.withColumnsRenamed({"cx": "px", "cy": "py"}).join(small(parents), ["px", "py"])
         frontier = _prune(down, k, x0, y0, side / 2**at).select("tx", "ty", "cx", "cy")
 
     pairs = frontier.join(points, ["cx", "cy"])
@@ -82,18 +82,18 @@ def nearest_points(
     )
 
 
-def _leaf_level(points: DataFrame, x0: float, y0: float, side: float) -> int:
-    """Shallowest level whose fullest cell is small: one pass over the points."""
-    n = points.count()
-    level = max(STEP, STEP * math.ceil(math.log(max(n / LEAF_POINTS, 1), 4) / STEP))
-    while level < MAX_LEVEL:
-        keys = [_cell(F.col("lon"), x0, side, level), _cell(F.col("lat"), y0, side, level)]
-        fullest = points.groupBy(*keys).count().agg(F.max("count")).first()[0]
-        if fullest <= LEAF_POINTS:
-            break
-        # Each level splits a cell in four; go straight to where it could fit.
-        level += max(STEP, STEP * math.floor(math.log(fullest / LEAF_POINTS, 4) / STEP))
-    return min(level, MAX_LEVEL)
+def _cells(points: DataFrame, x0: float, y0: float, side: float, n: int) -> tuple[DataFrame, int]:
+    """Counts of the non-empty cells of all levels, written in one pass, and the level at which the search ends.
+
+    That is the shallowest one that could and does hold few points in its fullest cell.
+    """
+    least = min(MAX_LEVEL, max(STEP, STEP * math.ceil(math.log(max(n / LEAF_POINTS, 1), 4) / STEP)))
+    finest = {"cx": _cell(F.col("lon"), x0, side, MAX_LEVEL), "cy": _cell(F.col("lat"), y0, side, MAX_LEVEL)}
+    rows = points.select(*[c.alias(name) for name, c in finest.items()]).withColumn("level", F.explode(F.sequence(F.lit(STEP), F.lit(MAX_LEVEL), F.lit(STEP))))
+    rows = rows.select("level", *[F.expr(f"shiftright({c}, {MAX_LEVEL} - level)").alias(c) for c in ("cx", "cy")])
+    cells = materialise(rows.groupBy("level", "cx", "cy").agg(F.count(F.lit(1)).alias("n")), "sample-cells")
+    fits = cells.where(F.col("level") >= least).groupBy("level").agg(F.max("n").alias("most")).where(F.col("most") <= LEAF_POINTS)
+    return cells, fits.agg(F.min("level")).first()[0] or MAX_LEVEL
 
 
 def _prune(frontier: DataFrame, k: int, x0: float, y0: float, side: float) -> DataFrame:
