@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,11 +51,11 @@ def _start(points: DataFrame, key: str, vector: str, k: int, restarts: int, seed
     return centres
 
 
-def kmeans_restarts(points: DataFrame, key: str, vector: str, k: int, restarts: int, seed: int = 42, rounds: int = 50) -> tuple[list[list[float]], float]:
+def kmeans_restarts(points: DataFrame, key: str, vector: str, k: int, restarts: int, seed: int = 42, rounds: int = 20) -> tuple[list[list[float]], float]:
     """Centres of the best of all runs and its cost; every round is one assignment and one aggregation for all runs.
 
-    Centres are restarts times k points, whatever the table holds. A run whose
-    centres stay is done; rounds end when all are.
+    Centres are restarts times k points, whatever the table holds. Rounds end
+    when no centre of any run moves by more than a ten-thousandth.
     """
     centres = _start(points, key, vector, k, restarts, seed)
     if not centres:
@@ -67,9 +69,10 @@ def kmeans_restarts(points: DataFrame, key: str, vector: str, k: int, restarts:
         moved = {r: list(c) for r, c in centres.items()}
         for row in means.collect():  # restarts times k
             moved[row[RUN]][row["cluster"]] = list(row["centre"])
-        if moved == centres:
-            break
+        steps = [math.dist(a, b) for r in moved for a, b in zip(moved[r], centres[r])]
         centres = moved
+        if max(steps) <= 1e-4:
+            break
     cost = _nearest(points, centres, vector).groupBy(RUN).agg(F.sum("_best.d").alias("cost")).collect()
     run, least = min(((r[RUN], r["cost"]) for r in cost), key=lambda x: (x[1], x[0]))
     return centres[run], least
