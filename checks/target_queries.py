@@ -91,7 +91,11 @@ QUERIES = {
 }
 
 
-def _base_sql(value: str, shift: bool, closed: bool, exclude: str, fill: bool = True) -> str:
+#: A station's value of a day, from all orders.
+_DAY = "round(sum(o_totalprice) / 1000, 2)"
+
+
+def _base_sql(value: str, shift: bool, closed: bool, exclude: str, fill: bool = True, daily: str = _DAY) -> str:
     """CTEs up to ``merged``: station days with observed and product value."""
     box = "lon between -69.0e0 and -57.0e0 and lat between -22.5e0 and -10.0e0" if closed else "lon > -69.0e0 and lon < -57.0e0 and lat > -22.5e0 and lat < -10.0e0"
     day = "cast(time - interval 1 day as date)" if shift else "time"
@@ -105,7 +109,7 @@ def _base_sql(value: str, shift: bool, closed: bool, exclude: str, fill: bool =
         keyed as (select n_nationkey, o_orderdate, o_totalprice, round({_X} + 0.5e0 + (n_nationkey % 3) * 0.7e0, 4) as lon,
                          round({_Y} + 0.7e0 + (n_nationkey % 2) * 1.0e0, 4) as lat
                   from (select c_nationkey as n_nationkey, o_orderdate, o_totalprice from orders join customer on o_custkey = c_custkey)),
-        daily as (select n_nationkey as station_id, lon, lat, cast(o_orderdate as date) as time, round(sum(o_totalprice) / 1000, 2) as v from keyed group by all),
+        daily as (select n_nationkey as station_id, lon, lat, cast(o_orderdate as date) as time, {daily} as v from keyed group by all),
         inside as (select * from daily where {box} and time between date '1995-01-01' and date '2001-12-31' {exclude}),
         spots as (select distinct station_id, lon, lat from inside),
         located as ({hits_sql('spots', 'station_id')}),
@@ -123,7 +127,7 @@ _NODE = """round(-69.7e0 + greatest(0, least(121, ceil(round((lon + 69.7e0) * 10
 _M = "over (partition by station_id, month(time))"
 
 
-def _cold_sql() -> str:
+def _cold_sql(daily: str = _DAY) -> str:
     flags = ", ".join(f"case when b.tmin <= c.m - {t} * c.sd then 1 else 0 end as f{i}" for i, t in enumerate((0.5, 1)))
     cols = ", ".join(
         f"""cast(f{i} as bigint) as "flag_tmin_{t}sd_final", cast({_ahead(f'sum(f{i})', 3)} as bigint) as "n_{t}sd_next3d_final",
@@ -131,7 +135,7 @@ def _cold_sql() -> str:
         for i, t in enumerate(("0_5", "1"))
     )
     return f"""
-        with {_base_sql('tmin', False, True, '')},
+        with {_base_sql('tmin', False, True, '', daily=daily)},
         scaled as (select *, avg(obs) {_M} + stddev_samp(obs) {_M} / nullif(stddev_samp(product) {_M}, 0) * (product - avg(product) {_M}) as adj from merged),
         b as (select *, (coalesce(obs, adj) + coalesce(adj, obs)) / 2 as tmin, dayofyear(time) as doy from scaled),
         src as (select station_id, time, doy, tmin as value from b), clim as ({doy_moments_sql('src', 7)}),
@@ -143,9 +147,9 @@ def _cold_sql() -> str:
         from runs r join located l on l.station_id = r.station_id"""
 
 
-def _rain_sql() -> str:
+def _rain_sql(daily: str = _DAY) -> str:
     return f"""
-        with {_base_sql('prcp', True, False, 'and station_id <> 3')},
+        with {_base_sql('prcp', True, False, 'and station_id <> 3', daily=daily)},
         monthly as (select station_id, year(time) as y, month(time) as month, coalesce(sum(product), 0) as p, coalesce(sum(obs), 0) as o
                     from merged group by 1, 2, 3 having count(obs) >= 26),
         f as (select station_id, month, case when avg(p) = 0 then 1 else avg(o) / avg(p) end as bf from monthly group by 1, 2),

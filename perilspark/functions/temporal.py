@@ -79,8 +79,9 @@ class Calendar:
         return inside & F.array_contains(self.days(), day)
 
     def between(self, time: Column | str) -> Column:
+        """Whether a day, or a moment within it, lies in the period; reaches the scan."""
         day = F.col(time) if isinstance(time, str) else time
-        return day.between(F.lit(self.start), F.lit(self.end))
+        return (day >= F.lit(self.start)) & (day < F.lit(self.end + dt.timedelta(days=1)))
 
     def frame(self, spark: SparkSession, name: str = "time") -> DataFrame:
         return spark.range(1).select(F.explode(self.days()).alias(name))

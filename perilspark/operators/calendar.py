@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.temporal import Calendar
 
 
-def daily_series(df: DataFrame, station: list[str], time: Column | str, **aggregates: Column) -> DataFrame:
+def daily_series(df: DataFrame, station: list[str], time: Column | str, /, **aggregates: Column) -> DataFrame:
     """Collapse records to one row per station and day.
 
     Partial aggregation shrinks a hot station before the shuffle; afterwards a

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.temporal import time_part
 
+REPEATED = "a station has several rows for one day; reduce them with daily_series first"
 YEAR_DAYS = 365  # day 366 neither enters a window nor receives a value
 
 
@@ -28,11 +29,14 @@ def by_station(series: DataFrame, station: list[str]) -> DataFrame:
 def _packed_by_day(series: DataFrame, station: list[str], partitioned: bool, *aggregates: Column) -> DataFrame:
     rows = F.struct(*[c for c in series.columns if c not in station])
     placed = series if partitioned else by_station(series, station)
-    return (
+    packed = (
         placed.withColumn("_doy", F.dayofyear("time"))
         .groupBy(*station, "_doy")
-        .agg(F.collect_list(rows).alias("_rows"), *aggregates)
+        .agg(F.collect_list(rows).alias("_rows"), F.collect_set(F.year("time")).alias("_years"), *aggregates)
     )
+    # Repeated days would weigh twice and let the packed rows grow without bound.
+    once = F.col("_doy").isNull() | (F.size("_rows") == F.size("_years"))
+    return packed.where(F.assert_true(once, F.lit(REPEATED)).isNull()).drop("_years")
 
 
 def _with_circular_halo(packed: DataFrame, window: int) -> DataFrame:

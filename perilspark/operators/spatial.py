@@ -34,11 +34,11 @@ def with_bounds(polygons: DataFrame) -> DataFrame:
 def edges_of_ring(ring: Column) -> Column:
     """Edges of an ``array<struct<x,y>>`` ring that closes itself."""
 
-    def edge(p, i):
-        nxt = F.get(ring, (i + 1) % F.size(ring))
-        return F.struct(p["x"].alias("x1"), p["y"].alias("y1"), nxt["x"].alias("x2"), nxt["y"].alias("y2"))
+    def edge(p, q):
+        return F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2"))
 
-    return F.transform(ring, edge)
+    # Zipped with itself moved by one corner: a ring named inside a lambda would be built again for every corner.
+    return F.zip_with(ring, F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)), edge)
 
 
 def polygons_from_rings(spark: SparkSession, attributes: list[str], rows: list[tuple]) -> DataFrame:
@@ -57,11 +57,39 @@ def box_polygon(spark: SparkSession, minx: float, miny: float, maxx: float, maxy
     return polygons_from_rings(spark, ["location_id"], [(location_id, ring)])
 
 
+def outline(edges: Column | str) -> Column:
+    """Canonical form of a shape: its edges without direction, in order.
+
+    Rings that differ in starting corner or direction, and shapes that list
+    their rings in another order, have the same outline. Edges of no length
+    are left out. A corner added half-way along an edge makes another outline.
+    """
+
+    def undirected(e):
+        a, b = F.struct(e["x1"].alias("x"), e["y1"].alias("y")), F.struct(e["x2"].alias("x"), e["y2"].alias("y"))
+        return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+
+    return F.sort_array(F.filter(F.transform(edges, undirected), lambda e: e["a"] != e["b"]))
+
+
+def distinct_areas(polygons: DataFrame) -> DataFrame:
+    """One row per shape: that with the smallest other columns, in their order (missing first).
+
+    Shapes meet by a 128-bit hash of their outline; partial aggregation keeps
+    one row of equal shapes per task, however often a shape occurs.
+    """
+    form = outline("edges")
+    keyed = polygons.withColumns({"_shape": F.xxhash64(form), "_shape2": F.xxhash64(F.lit("outline"), form)})
+    others = [c for c in polygons.columns if c != "edges"]
+    first = keyed.groupBy("_shape", "_shape2").agg(F.min(F.struct(*others, "edges")).alias("_row"))
+    return first.select(*[F.col(f"_row.{c}").alias(c) for c in polygons.columns], "_shape", "_shape2")
+
+
 def number_areas(polygons: DataFrame, name: str = "location_id") -> DataFrame:
-    """Distinct shapes numbered ``ID-001…`` by their north-western corner."""
-    shapes = polygons.dropDuplicates(["edges"])
-    numbered = ordered_row_number(shapes, [], [F.col("minx"), -F.col("maxy"), F.col("edges")], "_i")
-    return numbered.withColumn(name, padded_id(F.col("_i"), F.col("_i_of"))).drop("_i", "_i_of")
+    """Distinct shapes numbered ``ID-001…`` by their north-western corner, then by their other sides and outline."""
+    corner = [F.col("minx"), -F.col("maxy"), F.col("maxx"), F.col("miny"), F.col("_shape"), F.col("_shape2")]
+    numbered = ordered_row_number(distinct_areas(polygons), [], corner, "_i")
+    return numbered.withColumn(name, padded_id(F.col("_i"), F.col("_i_of"))).drop("_i", "_i_of", "_shape", "_shape2")
 
 
 def area_of_interest(
@@ -164,7 +192,19 @@ def polygon_join(
     and broadcast if their counted edges are few, otherwise both sides shuffle
     by tile and AQE splits crowded ones.
     """
-    tiles = materialise(polygon_tiles(polygons, attributes, cell), "polygon-tiles")
+    return tile_join(points, materialise(polygon_tiles(polygons, attributes, cell), "polygon-tiles"), attributes, how, lon, lat, cell)
+
+
+def tile_join(
+    points: DataFrame,
+    tiles: DataFrame,
+    attributes: list[str],
+    how: str = "inner",
+    lon: str = "lon",
+    lat: str = "lat",
+    cell: float = 0.5,
+) -> DataFrame:
+    """``polygon_join`` on tiles that were written already."""
     tiles = broadcast_if_small(tiles, F.coalesce(F.size("_edges"), F.lit(0)) + 1)
     x, y = F.col(lon), F.col(lat)
     index = lambda v: F.floor((v - cell * SHIFT) / cell)

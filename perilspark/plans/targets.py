@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.flags import flag, threshold_name
 from ..functions.temporal import Calendar, previous_day
 from ..operators.bias import blend, mean_variance_scaling, with_monthly_bias
+from ..operators.calendar import daily_series
 from ..operators.climatology import by_station, doy_moments, doy_percentile
 from ..operators.columns import in_box, include_exclude
 from ..operators.grid import GridSpec, match_to_grid, select_points
@@ -132,6 +134,10 @@ class RainParams:
     sum_days: list[int] = field(default_factory=lambda: [3, 5])
 
 
+#: A day's value from several readings.
+DAILY = {"tmin": F.min, "prcp": F.sum}
+
+
 def station_series(
     records: DataFrame,
     calendar: Calendar,
@@ -141,9 +147,16 @@ def station_series(
     shift_day: bool = False,
     gap_fill: bool = True,
     station: str = "station_id",
+    daily: dict[str, Callable[[str], Column]] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Station records inside bounds, period and polygons, on the calendar.
 
+    ``time`` is a day or a moment. Several records of a station and day become
+    one before they are joined: ``daily`` names a column's aggregate (by
+    default the minimum of ``tmin`` and the sum of ``prcp``, missing values
+    skipped); other columns take their largest value. A station's place is its
+    largest longitude and latitude. The exchange is the one the join needs.
+
     Returns (series, located stations with their areas). Only stations inside
     a polygon enter the series, which is known from the short station list
     before any record is joined. ``gap_fill=False`` keeps records only, so
@@ -157,7 +170,9 @@ def station_series(
     # scanned for it only once.
     located = materialise(polygon_join(stations, where.areas, where.area_columns), "stations")
     stations = located.drop(*where.area_columns).distinct()
-    values = inside.drop("lon", "lat")
+    reduce = {**DAILY, **(daily or {})}
+    kept = [c for c in inside.columns if c not in (station, "time", "lon", "lat")]
+    values = daily_series(inside, [station], "time", **{c: reduce.get(c, F.max)(c) for c in kept})
     values = previous_day(values) if shift_day else values
     if gap_fill:
         series = calendar.expand(stations).join(values, [station, "time"], "left")
