@@ -12,6 +12,8 @@ The plan's size depends on the window alone. Ranks and running totals are sums o
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -21,6 +23,7 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from perilspark.llm.common import as_bytes, byte_batches
 from perilspark.session import materialise
@@ -36,39 +39,80 @@ KEPT_WORDS = 500_000
 _SPECIAL = "<|endoftext|>"
 
 
+#: Lower-case Latin letters, then ASCII signs without the apostrophe (which the tokenizer joins with some letters after it).
+_PLAIN_WORD = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
 class Tokens:
     """Ids of texts as little-endian arrays; words of ASCII white space are encoded once in a worker.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those of its words in turn. Strings that
-    look like special tokens are ordinary text.
+    The tokenizer drops white space and never joins across it, so a text's ids are those of its words in turn. A tokenizer that
+    lower-cases, takes runs of letters apart from signs and marks each run's last id encodes the letters and the signs of a word
+    once each. Strings that the file calls special tokens have their own ids, as in the tokenizer.
     """
 
     def __init__(self, name: str):
-        from tokenizers import Tokenizer
-
         path = name if "/" in name else public_tokenizers.path(name)
-        self.fast, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.fast = Tokenizer.from_file(path)
         self.separator = self.fast.token_to_id(_SPECIAL)
-        self.kind = np.dtype("<u2") if self.fast.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        size = self.fast.get_vocab_size()
+        self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+        suffix = rules["model"].get("end_of_word_suffix")
+        self.apart = bool(suffix) and [x["type"] for x in steps] == ["Split", "ByteLevel"] and "[\\p{L}]+|" in json.dumps(steps[0]["pattern"], ensure_ascii=False).replace("\\\\", "\\")
+        if self.apart:
+            # Letters need no normal form and no pattern: white space between them and the byte alphabet are enough.
+            self.letters = Tokenizer.from_file(path)
+            self.letters.normalizer = normalizers.Sequence([])
+            bytelevel = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytelevel])
+            self.last = np.zeros(size, bool)
+            self.last[[i for token, i in self.fast.get_vocab().items() if token.endswith(suffix)]] = True
 
     def learn(self, words: list[bytes]) -> None:
-        """Ids of new words. The tokenizer lower-cases, and letters are never joined with a comma or full stop after them."""
-        parts = {}
-        for w in words:
-            low = w.lower()
-            stem, tail = low[:-1], low[-1:]
-            parts[w] = (stem, tail) if tail in (b",", b".") and stem.decode("utf-8", "replace").isalpha() else (low, b"")
-        self.encode([x for x in {x for pair in parts.values() for x in pair if x} if x not in self.known])
-        for w, (stem, tail) in parts.items():
-            self.known[w] = self.known[stem] + (self.known[tail] if tail else b"")
+        """Ids of new words."""
+        plain, other = [], []
+        if self.apart:
+            lower = b"\n".join(words).decode("utf-8", "replace").lower().split("\n")
+            for w, found in zip(words, map(_PLAIN_WORD.fullmatch, lower)):
+                if found:
+                    plain.append((w, found[1], found[2]))
+                else:
+                    other.append(w)
+        else:
+            other = words
+        self.encode(other)
+        parts = self.parts
+        signs = [x for x in {x for _, _, x in plain} if x and x not in parts]
+        raw = [x.encode() for x in signs]
+        self.encode([x for x in raw if x not in self.known])
+        parts.update(zip(signs, [self.known[x] for x in raw]))
+        self.encode_letters([x for x in {x for _, x, _ in plain} if x not in parts])
+        parts[""] = b""
+        for w, letters, sign in plain:
+            self.known[w] = parts[letters] + parts[sign]
+
+    def encode_letters(self, units: list[str]) -> None:
+        size = self.kind.itemsize
+        for first in range(0, len(units), 1000):
+            part = units[first : first + 1000]
+            ids = np.array(self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
+            ends = ((np.flatnonzero(self.last[ids]) + 1) * size).tolist()
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer took letters apart")
+            packed = ids.astype(self.kind).tobytes()
+            self.parts.update(zip(part, [packed[a:b] for a, b in zip([0, *ends], ends)]))
 
     def encode(self, words: list[bytes]) -> None:
         odd = [w for w in words if b"<|" in w]
         plain = [w for w in words if b"<|" not in w]
         for w in odd:
-            self.known[w] = np.array(self.plain.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, self.kind).tobytes()
+            self.known[w] = np.array(self.fast.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, self.kind).tobytes()
         for first in range(0, len(plain), 1000):
             part = plain[first : first + 1000]
             joined = _SPECIAL.join(w.decode("utf-8", "replace") for w in part)
@@ -85,13 +129,17 @@ class Tokens:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [x.split() for x in texts]
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        new = [w for w in {w for x in split for w in x} if w not in self.known]
-        if new:
-            self.learn(new)
+        if len(self.known) > KEPT_WORDS // 2:
+            # The older half goes; what is met again moves to the younger.
+            self.earlier, self.known, self.parts = self.known, {}, {}
+        new = set().union(*split).difference(self.known)
+        again = new.intersection(self.earlier)
+        self.known.update(zip(again, map(self.earlier.__getitem__, again)))
+        if len(new) > len(again):
+            self.learn(list(new - again))
         end = np.array([END_ID], self.kind).tobytes()
-        return [b"".join([self.known[w] for w in x]) + end for x in split]
+        get = self.known.__getitem__
+        return [b"".join(map(get, x)) + end for x in split]
 
 
 @lru_cache(maxsize=2)
