@@ -39,8 +39,9 @@ KEPT_WORDS = 500_000
 _SPECIAL = "<|endoftext|>"
 
 
-#: Lower-case Latin letters, then ASCII signs without the apostrophe (which the tokenizer joins with some letters after it).
-_PLAIN_WORD = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Signs that end a word, all of ASCII but the apostrophe (which the tokenizer joins with some letters after it).
+_SIGNS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+_LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 class Tokens:
@@ -76,26 +77,27 @@ class Tokens:
 
     def learn(self, words: list[bytes]) -> None:
         """Ids of new words."""
-        plain, other = [], []
+        stems, signs, plain, other = [], [], [], []
         if self.apart:
             lower = b"\n".join(words).decode("utf-8", "replace").lower().split("\n")
-            for w, found in zip(words, map(_PLAIN_WORD.fullmatch, lower)):
-                if found:
-                    plain.append((w, found[1], found[2]))
+            for w, text in zip(words, lower):
+                stem = text.rstrip(_SIGNS)
+                if stem.isalpha() and (stem.isascii() or _LATIN.fullmatch(stem)):
+                    plain.append(w)
+                    stems.append(stem)
+                    signs.append(text[len(stem) :])
                 else:
                     other.append(w)
         else:
             other = words
         self.encode(other)
-        parts = self.parts
-        signs = [x for x in {x for _, _, x in plain} if x and x not in parts]
-        raw = [x.encode() for x in signs]
-        self.encode([x for x in raw if x not in self.known])
-        parts.update(zip(signs, [self.known[x] for x in raw]))
-        self.encode_letters([x for x in {x for _, x, _ in plain} if x not in parts])
-        parts[""] = b""
-        for w, letters, sign in plain:
-            self.known[w] = parts[letters] + parts[sign]
+        self.encode_letters(list(set(stems).difference(self.parts)))
+        tails = [x.encode() for x in set(signs).difference(self.parts) if x]
+        self.encode([x for x in tails if x not in self.known])
+        self.parts.update((x.decode(), self.known[x]) for x in tails)
+        self.parts[""] = b""
+        of = self.parts.__getitem__
+        self.known.update(zip(plain, map(bytes.__add__, map(of, stems), map(of, signs))))
 
     def encode_letters(self, units: list[str]) -> None:
         size = self.kind.itemsize
