@@ -20,12 +20,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from perilspark.llm.common import as_bytes, byte_batches
+from perilspark.llm.common import as_bytes, byte_batches, starts_of
 from perilspark.session import materialise
 
 WINDOW, END_ID = 4096, 2
@@ -58,7 +59,7 @@ class Tokens:
         self.separator = self.fast.token_to_id(_SPECIAL)
         size = self.fast.get_vocab_size()
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
         self.earlier: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
@@ -130,18 +131,29 @@ class Tokens:
                 self.known[w] = packed[(a + 1) * size : b * size]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [x.split() for x in texts]
+        """Ids of each text and the end id. Words are numbered and their ids laid in place by arrays, never one by one."""
+        body = pc.cast(pa.array(texts, pa.binary()), options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
+        split = pc.ascii_split_whitespace(body)
+        numbered = split.values.dictionary_encode()
+        words = numbered.dictionary.cast(pa.binary()).to_pylist()
         if len(self.known) > KEPT_WORDS // 2:
             # The older half goes; what is met again moves to the younger.
-            self.earlier, self.known, self.parts = self.known, {}, {}
-        new = set().union(*split).difference(self.known)
+            self.earlier, self.known, self.parts = self.known, {b"": b""}, {}
+        new = set(words).difference(self.known)
         again = new.intersection(self.earlier)
         self.known.update(zip(again, map(self.earlier.__getitem__, again)))
         if len(new) > len(again):
             self.learn(list(new - again))
+        found = [self.known[w] for w in words]
+        ids = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        number = numbered.indices.to_numpy()
+        width = sizes[number]
+        place = starts_of(width)
+        whole = ids[np.repeat(starts_of(sizes)[:-1][number] - place[:-1], width) + np.arange(place[-1])]
+        edges = place[split.offsets.to_numpy()].tolist()
         end = np.array([END_ID], self.kind).tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, x)) + end for x in split]
+        return [whole[a:b].tobytes() + end for a, b in zip(edges, edges[1:])]
 
 
 @lru_cache(maxsize=2)
