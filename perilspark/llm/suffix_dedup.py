@@ -6,8 +6,10 @@ Runs are compared by anchor and digest first: an anchor seen once has no repeats
 anchors with unlike runs, is the text of the shards. Each shard sorts its suffixes by induced sorting (types, leftmost-smaller
 positions, the order of leftmost-smaller substrings by an induction, their names' order by doubling ranks to the depth that
 counts, one more induction for all suffixes), whole buckets at a time in numpy, and finds common prefixes in text order from
-each suffix's neighbour. Runs of an anchor that over ``CROWD`` unlike runs share go to a join of their strings' 128-bit hashes instead, so
-that no shard holds an unbounded group. Marked starts go back to their documents as intervals.
+each suffix's neighbour. So that no shard holds an unbounded group, the unlike runs of an anchor that are over ``CROWD_BYTES`` together are
+cut into pieces of ``PIECE`` starts at fixed distances from the anchor: the bytes that all strings of such a piece share are its core,
+equal strings have equal cores, and pieces go through the same steps by core. Only the pieces of a core that are over
+``CROWD_BYTES`` again go to a join of their strings' 128-bit hashes. Marked starts go back to their documents as intervals.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ from perilspark.llm.simhash_dedup import CLEANUP
 from perilspark.session import materialise
 
 LENGTH, GRAM = 200, 24
-#: Starts of a run at most, unlike runs of an anchor in one shard at most, and bytes of a shard.
-RUN_STARTS, CROWD, SHARD_BYTES = 1024, 256, 1 << 20
+#: Starts of a run at most, starts of a piece at most, bytes of a shard, and bytes of one anchor's or core's unlike texts in a shard at most.
+RUN_STARTS, PIECE, SHARD_BYTES = 1024, 16, 1 << 20
+CROWD_BYTES = SHARD_BYTES // 2
 _FACTORS = split_mix(64, 11) | np.uint64(1)
 
 
@@ -48,6 +51,13 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
+def gram_hashes(body: bytes) -> np.ndarray:
+    """Hash of the gram at each byte of a text."""
+    word = words_at(body + bytes(GRAM))
+    grams = len(body) - GRAM + 1
+    return mix(word[:grams] * _FACTORS[0] + word[8 : grams + 8] * _FACTORS[1] + word[16 : grams + 16] * _FACTORS[2])
+
+
 def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first start, number of starts, anchor, whether the anchor is in it more than once) of all runs of the texts."""
     sizes = np.array([len(x) for x in texts], np.int64)
@@ -55,9 +65,7 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     body = b"".join(texts)
     if len(body) < LENGTH:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, bool))
-    word = words_at(body + bytes(GRAM))
-    grams = len(body) - GRAM + 1
-    gram = mix(word[:grams] * _FACTORS[0] + word[8 : grams + 8] * _FACTORS[1] + word[16 : grams + 16] * _FACTORS[2])
+    gram = gram_hashes(body)
     least = sliding_min(gram, LENGTH - GRAM + 1)
     text = np.repeat(np.arange(len(texts)), np.maximum(sizes - LENGTH + 1, 0))
     starts = np.arange(len(text)) - starts_of(np.maximum(sizes - LENGTH + 1, 0))[text] + begin[text]
@@ -79,6 +87,23 @@ def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return text[at], starts[at] - begin[text[at]], count, anchor[at], np.add.reduceat(held, edge, dtype=np.int64) > 1
 
 
+def pieces_of(run: bytes, anchor: int) -> list[tuple[int, int, bytes]]:
+    """(core's hash, first start, text) of the pieces of a run.
+
+    A string's anchor is the first one at or after its start, so equal strings are equally far from theirs.
+    """
+    places = np.flatnonzero(gram_hashes(run) == np.uint64(anchor & (1 << 64) - 1))
+    starts = np.arange(len(run) - LENGTH + 1)
+    place = places[np.searchsorted(places, starts)]
+    block = (place - starts) // PIECE
+    first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (block[1:] != block[:-1])]))
+    core = place[first] - block[first] * PIECE
+    out = []
+    for a, b, c, seed in zip(first.tolist(), [*first[1:].tolist(), len(starts)], core.tolist(), block[first].tolist()):
+        out.append((xxhash.xxh3_64_intdigest(run[c : c + LENGTH - PIECE + 1], seed), a, run[a : b + LENGTH - 1]))
+    return out
+
+
 def _split(positions: np.ndarray, chars: np.ndarray, lists: list[list[np.ndarray]]) -> None:
     """Append positions to the list of their character, in order."""
     order = np.argsort(chars, kind="stable")
@@ -236,6 +261,8 @@ def spans(marked: np.ndarray) -> tuple[list[int], list[int]]:
 
 _RUN = "anchor long, d1 long, d2 long"
 _MARKS = _RUN + ", low array<int>, high array<int>"
+#: A piece takes the names of a run; the run it is of has its own.
+_PIECE = _RUN + ", n long, of long, of1 long, of2 long, at int, run binary"
 
 
 def repeated_spans(rows: DataFrame) -> DataFrame:
@@ -261,12 +288,27 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
             for body, wanted in zip(batch.column("body"), batch.column("wanted")):
                 text, out = memoryview(body.as_py()), wanted.as_py()
                 if out:
-                    columns = [[x[c] for x in out] for c in ("anchor", "d1", "d2", "n", "crowd")]
+                    columns = [[x[c] for x in out] for c in ("anchor", "d1", "d2", "n", "weight")]
                     yield pa.RecordBatch.from_arrays(
                         [*(pa.array(c, pa.int64()) for c in columns), pa.array([bytes(text[x["start"] : x["start"] + x["starts"] + LENGTH - 1]) for x in out], pa.binary())],
-                        ["anchor", "d1", "d2", "n", "crowd", "run"],
+                        ["anchor", "d1", "d2", "n", "weight", "run"],
                     )
 
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pieces of runs, with equal pieces of a run or of several as rows of their own."""
+        for batch in batches:
+            ids = [batch.column(c).to_pylist() for c in ("anchor", "d1", "d2", "n")]
+            for first, texts in byte_batches(batch, "run"):
+                found = [(i, *x) for i, run in enumerate(texts, first) for x in pieces_of(run, ids[0][i])]
+                of = [x[0] for x in found]
+                key = np.array([x[1] for x in found], np.uint64).view(np.int64)
+                halves = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x[3]) for x in found]), "<i8").reshape(-1, 2)
+                own, one, two, times = [pa.array([c[i] for i in of], pa.int64()) for c in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), times, own, one, two, pa.array([x[2] for x in found], pa.int32()), pa.array([x[3] for x in found], pa.binary())],
+                    ["anchor", "d1", "d2", "n", "of", "of1", "of2", "at", "run"],
+                )
+
     def shard(key: tuple, table: pa.Table) -> pa.Table:
         marked = repeated_starts(table.column("run").to_pylist())
         again = table.column("n").to_numpy() > 1
@@ -282,6 +324,33 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
                 same = [pa.array(np.full(len(one), batch.column(c)[i].as_py(), np.int64)) for c in ("anchor", "d1", "d2", "n")]
                 yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(len(one), dtype=np.int32)), pa.array(one), pa.array(two)], ["anchor", "d1", "d2", "n", "at", "s1", "s2"])
 
+    def in_shards(texts: DataFrame) -> DataFrame:
+        """Marks of texts whose equal strings have equal anchors."""
+        total = texts.agg(F.coalesce(F.sum(F.octet_length("run")), F.lit(0))).first()[0]
+        number = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // SHARD_BYTES))))
+        return texts.withColumn("shard", number).groupBy("shard").applyInArrow(shard, _MARKS)
+
+    def in_pieces(texts: DataFrame) -> DataFrame:
+        """Marks of the runs of crowded anchors."""
+        cuts = materialise(texts.mapInArrow(pieces, _PIECE), "pieces")
+        alike = materialise(cuts.groupBy("anchor", "d1", "d2").agg(F.sum("n").alias("n"), F.min("run").alias("run")), "distinct-pieces")
+        cores = alike.groupBy("anchor").agg(F.count("*").alias("crowd"), F.sum("n").alias("all"), F.sum(F.octet_length("run")).alias("weight"))
+        met = materialise(alike.join(cores.where("all > 1").drop("all"), "anchor"), "met-pieces")
+        whole = met.where("crowd = 1").select("anchor", "d1", "d2", F.array(F.lit(0)).alias("low"), F.array(F.octet_length("run") - (LENGTH - 1)).alias("high"))
+        unlike, crowded = met.where("crowd > 1"), F.col("weight") > CROWD_BYTES
+        found = whole.unionByName(in_shards(unlike.where(~crowded)))
+        if not unlike.where(crowded).isEmpty():
+            each = materialise(unlike.where(crowded).mapInArrow(strings, _RUN + ", n long, at int, s1 long, s2 long"), "strings")
+            twice = each.groupBy("s1", "s2").agg(F.sum("n").alias("times")).where("times > 1").select("s1", "s2")
+            at = each.join(twice, ["s1", "s2"]).groupBy("anchor", "d1", "d2").agg(F.collect_set("at").alias("low"))
+            found = found.unionByName(at.select("anchor", "d1", "d2", "low", F.transform("low", lambda x: x + 1).alias("high")))
+        back = cuts.join(found, ["anchor", "d1", "d2"]).select(
+            F.col("of").alias("anchor"), F.col("of1").alias("d1"), F.col("of2").alias("d2"),
+            F.transform("low", lambda x: x + F.col("at")).alias("low"), F.transform("high", lambda x: x + F.col("at")).alias("high"),
+        )
+        spans_of = back.groupBy("anchor", "d1", "d2").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
+        return spans_of.select("anchor", "d1", "d2", F.flatten("parts.low").alias("low"), F.flatten("parts.high").alias("high"))
+
     spark = rows.sparkSession
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
@@ -289,24 +358,21 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
         runs = materialise(rows.mapInArrow(find, _RUN + ", row long, start int, starts int, multi boolean"), "runs")
         distinct = runs.groupBy("anchor", "d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("row", "start", "starts")).alias("at"), F.max("multi").alias("multi"))
         distinct = materialise(distinct, "distinct-runs")
-        anchors = distinct.groupBy("anchor").agg(F.count("*").alias("crowd"), F.sum("n").alias("all"), F.max("multi").alias("any"))
-        anchors = anchors.where((F.col("all") > 1) | F.col("any")).select("anchor", "crowd")
+        anchors = distinct.groupBy("anchor").agg(F.count("*").alias("crowd"), F.sum("n").alias("all"), F.max("multi").alias("any"), F.sum(F.col("at.starts") + (LENGTH - 1)).alias("weight"))
+        anchors = anchors.where((F.col("all") > 1) | F.col("any")).select("anchor", "crowd", "weight")
         met = materialise(distinct.join(anchors, "anchor"), "met")
         lone = met.where("crowd = 1 and n > 1").select("anchor", "d1", "d2", F.array(F.lit(0)).alias("low"), F.array("at.starts").alias("high"))
         wanted = met.where("crowd > 1 or n = 1").groupBy(F.col("at.row").alias("row")).agg(
-            F.collect_list(F.struct("anchor", "d1", "d2", "n", "crowd", "at.start", "at.starts")).alias("wanted")
+            F.collect_list(F.struct("anchor", "d1", "d2", "n", "weight", "at.start", "at.starts")).alias("wanted")
         )
         texts = materialise(
-            rows.join(wanted, "row").mapInArrow(cut, _RUN + ", n long, crowd long, run binary").dropDuplicates(["anchor", "d1", "d2"]), "run-texts"
+            rows.join(wanted, "row").mapInArrow(cut, _RUN + ", n long, weight long, run binary").dropDuplicates(["anchor", "d1", "d2"]), "run-texts"
         )
-        total = texts.agg(F.coalesce(F.sum(F.octet_length("run")), F.lit(0))).first()[0]
-        few = texts.where(F.col("crowd") <= CROWD).withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // SHARD_BYTES)))))
-        sorted_marks = few.groupBy("shard").applyInArrow(shard, _MARKS)
-        each = materialise(texts.where(F.col("crowd") > CROWD).mapInArrow(strings, _RUN + ", n long, at int, s1 long, s2 long"), "strings")
-        twice = each.groupBy("s1", "s2").agg(F.sum("n").alias("times")).where("times > 1").select("s1", "s2")
-        crowd_marks = each.join(twice, ["s1", "s2"]).groupBy("anchor", "d1", "d2").agg(F.collect_set("at").alias("low"))
-        crowd_marks = crowd_marks.select("anchor", "d1", "d2", "low", F.transform("low", lambda x: x + 1).alias("high"))
-        marks = materialise(lone.unionByName(sorted_marks).unionByName(crowd_marks), "marks")
+        crowded = F.col("weight") > CROWD_BYTES
+        marks = lone.unionByName(in_shards(texts.where(~crowded)))
+        if not texts.where(crowded).isEmpty():
+            marks = marks.unionByName(in_pieces(texts.where(crowded)))
+        marks = materialise(marks, "marks")
         spanned = runs.join(marks, ["anchor", "d1", "d2"]).select(
             "row",
             F.transform(F.arrays_zip("low", "high"), lambda x: F.struct((F.col("start") + x["low"]).alias("low"), (F.col("start") + x["high"] + (LENGTH - 1)).alias("high"))).alias("spans"),
