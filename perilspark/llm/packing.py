@@ -16,7 +16,6 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from perilspark.llm.common import as_bytes, byte_batches
+from perilspark.llm.words import of_worker
 from perilspark.session import materialise
 
 WINDOW, END_ID = 4096, 2
@@ -144,10 +144,9 @@ class Tokens:
         return [b"".join(map(get, x)) + end for x in split]
 
 
-@lru_cache(maxsize=2)
 def tokens_of(name: str) -> Tokens:
     """One for all tasks of a worker."""
-    return Tokens(name)
+    return of_worker(Tokens, name)
 
 
 def combinations_of(histogram: np.ndarray, window: int) -> list[tuple[tuple[int, int], ...]]:

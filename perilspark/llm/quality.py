@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilspark.llm.common import as_bytes, bounded_sample, byte_batches, mix, starts_of, sum_by_row
-from perilspark.llm.words import WordMemo
+from perilspark.llm.words import WordMemo, of_worker
 from perilspark.session import materialise
 
 BITS = 18
@@ -80,10 +79,9 @@ class Features:
         return (np.stack(columns, axis=1).ravel() >> np.uint64(64 - BITS)).astype(np.int64), counts * len(columns), counts
 
 
-@lru_cache(maxsize=1)
 def features_of_worker() -> Features:
     """One for all tasks of a worker, so that words are described once."""
-    return Features()
+    return of_worker(Features)
 
 
 def margin(weights: np.ndarray, bias: float, features: Features, texts: list[bytes]) -> np.ndarray:

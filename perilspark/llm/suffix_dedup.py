@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from perilspark.llm.common import as_bytes, byte_batches, mix, split_mix, starts_of
 from perilspark.llm.simhash_dedup import CLEANUP
+from perilspark.llm.words import clear_worker
 from perilspark.session import materialise
 
 LENGTH, GRAM = 200, 24
@@ -269,6 +270,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     """``row`` and ``spans``, the (low, high) byte intervals to remove, for rows (``row``, ``body``) that have any."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clear_worker()
         for batch in batches:
             ids = batch.column("row").to_numpy()
             for first, texts in byte_batches(batch, "body"):
@@ -310,6 +312,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
                 )
 
     def shard(key: tuple, table: pa.Table) -> pa.Table:
+        clear_worker()
         marked = repeated_starts(table.column("run").to_pylist())
         again = table.column("n").to_numpy() > 1
         found = [spans(m | True) if twice else spans(m) for m, twice in zip(marked, again)]

@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 
 
+@lru_cache(maxsize=1)
+def of_worker(kind: type, *arguments):
+    """An object that all tasks of a worker share; it goes when another operator's takes its place, so that tables of words don't add up."""
+    return kind(*arguments)
+
+
+def clear_worker() -> None:
+    """For tasks without such an object: what an earlier operator left in the worker goes."""
+    of_worker.cache_clear()
+
+
 class WordMemo:
     """Columns of numbers that ``describe`` gives for words, kept for up to ``limit`` words in a worker.
 
