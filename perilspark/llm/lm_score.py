@@ -10,6 +10,9 @@ number of weights grows with the training tokens. Blocks are trained and applied
 and no task holds more than one block's table. Within a class a word's probability does not depend on the history: it is its
 discounted share of the class's tokens, and the discounts are the share of words never seen.
 
+Documents are split into words twice, for the counts and for a table of codes, which all later steps read. Tokens go to the
+blocks in ``TURNS`` turns, each with its share of the blocks, so that shuffle files never hold all of them.
+
 Counts of tokens cover all training documents. The ``HEAD`` most frequent words are scored where they stand, with a table of
 bounded size; every other word of every document is joined with the counts. No rare word is frequent enough to be a hot key.
 """
@@ -17,17 +20,18 @@ bounded size; every other word of every document is joined with the counts. No r
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perilspark.llm.common import as_bytes, byte_batches, mix, starts_of, sum_by_row
+from perilspark.llm.common import BATCH_BYTES, as_bytes, byte_batches, mix, starts_of, sum_by_row
 from perilspark.llm.simhash_dedup import CLEANUP
-from perilspark.llm.words import WordMemo
+from perilspark.llm.words import WordMemo, of_worker
 from perilspark.session import materialise
 
 #: The end of a text, which no word can be.
@@ -36,11 +40,14 @@ END = b"\n"
 HEAD, BITS = 131_072, 13
 #: Training tokens of a block of histories on average, bits of its feature hash, and tokens that a task takes of one block.
 BLOCK_TOKENS, BLOCK_BITS, PART_TOKENS = 1 << 20, 16, 1 << 21
-#: A training token between tasks, its rows in the table of its block and its class; a token to score also has its document.
-LEARNT = np.dtype([("at", "<u2", 4), ("cls", "u1")])
-TOKEN = np.dtype([("at", "<u2", 4), ("cls", "u1"), ("row", "<i8")])
-#: A token of a stored document.
-STEP = np.dtype([("at", "<u2", 4), ("cls", "u1"), ("block", "<u4")])
+#: A token between tasks, its rows in the table of its block and its class.
+TOKEN = np.dtype([("at", "<u2", 4), ("cls", "u1")])
+#: A token of a stored document: its place among the frequent words, beyond them that in the document's list of others.
+CODE = np.dtype("<u4")
+#: Tokens of a group of documents whose sums meet in a task.
+GROUP_TOKENS = 4_000_000
+#: Turns in which the blocks are dealt out, so that only a share of the tokens lies in shuffle files at a time.
+TURNS = 2
 #: Tokens that a task counts before it passes sums on.
 COUNTED = 4_000_000
 #: Parts of the training documents that are gone through in turn, tokens of a step, and its rate.
@@ -77,10 +84,9 @@ class Corpus:
         return counts, name[codes], kind[codes]
 
 
-@lru_cache(maxsize=1)
 def corpus_of_worker() -> Corpus:
     """One for all tasks of a worker, so that words are described once."""
-    return Corpus()
+    return of_worker(Corpus)
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
@@ -132,8 +138,34 @@ class Vocabulary:
         return np.where(hit, at, -1), np.where(hit, self.cls[at], LEVELS * KINDS + kinds)
 
 
-def histories(counts: np.ndarray, names: np.ndarray) -> np.ndarray:
-    """Hashed features of every token: word before, pair before, second before, third before; fixed ones at a text's start."""
+def coded_batches(batch: pa.RecordBatch, vocabulary: Vocabulary) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, int]]:
+    """First row and number of rows, counts, names and classes of the tokens, and the first text's hash, of consecutive parts of a batch of stored documents.
+
+    Parts end where those of the texts do.
+    """
+    frequent = len(vocabulary.names)
+    cuts, held = [0], 0
+    for i, size in enumerate(batch.column("size").to_pylist()):
+        if i > cuts[-1] and held + size > BATCH_BYTES:
+            cuts.append(i)
+            held = 0
+        held += size
+    for first, after in zip(cuts, [*cuts[1:], batch.num_rows]):
+        packed = batch.column("codes").slice(first, after - first).to_pylist()
+        codes = np.frombuffer(b"".join(packed), CODE).astype(np.int64)
+        counts = np.array([len(x) // CODE.itemsize for x in packed], np.int64)
+        lists = [batch.column(c).slice(first, len(packed)) for c in ("names", "kinds")]
+        begin = starts_of(pc.list_value_length(lists[0]).to_numpy(zero_copy_only=False))[:-1]
+        other_names, other_kinds = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+        # The frequent words and the lists of the documents as one table.
+        codes += np.where(codes < frequent, 0, np.repeat(begin, counts))
+        names = np.concatenate([vocabulary.names, other_names]).astype(np.int64)[codes]
+        classes = np.concatenate([vocabulary.cls, LEVELS * KINDS + other_kinds]).astype(np.uint8)[codes]
+        yield first, len(packed), counts, names, classes, batch.column("hash")[first].as_py() & (1 << 64) - 1
+
+
+def words_before(counts: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
+    """Words one, two and three before every token; fixed ones at a text's start."""
     place = np.arange(len(names)) - np.repeat(starts_of(counts)[:-1], counts)
     before = []
     for k in (1, 2, 3):
@@ -141,8 +173,20 @@ def histories(counts: np.ndarray, names: np.ndarray) -> np.ndarray:
         x[k:] = names[:-k].view(np.uint64)
         x[place < k] = k
         before.append(x)
-    one, two, three = before
-    return np.stack([mix(one + np.uint64(1)), mix(mix(one + np.uint64(2)) + two), mix(two + np.uint64(3)), mix(three + np.uint64(4))])
+    return before
+
+
+def pairs(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return mix(mix(one + np.uint64(2)) + two)
+
+
+def hashed_words(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
+    return np.stack([mix(one + np.uint64(1)), pairs(one, two), mix(two + np.uint64(3)), mix(three + np.uint64(4))])
+
+
+def histories(counts: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Hashed features of every token: word before, pair before, second before, third before; fixed ones at a text's start."""
+    return hashed_words(*words_before(counts, names))
 
 
 def rows_of(hashed: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -152,7 +196,11 @@ def rows_of(hashed: np.ndarray, bits: int = BITS) -> np.ndarray:
 
 def blocks_of(hashed: np.ndarray, blocks: int) -> np.ndarray:
     """Block of every token, by other bits of the pair before it than those of its row."""
-    return ((hashed[1] & np.uint64(0xFFFFFFFF)) % np.uint64(blocks)).astype(np.int64)
+    return block_of_pair(hashed[1], blocks)
+
+
+def block_of_pair(pair: np.ndarray, blocks: int) -> np.ndarray:
+    return ((pair & np.uint64(0xFFFFFFFF)) % np.uint64(blocks)).astype(np.int64)
 
 
 def widened(weights: np.ndarray) -> np.ndarray:
@@ -160,35 +208,48 @@ def widened(weights: np.ndarray) -> np.ndarray:
     return np.concatenate([np.repeat(weights[:-1], 1 << (BLOCK_BITS - BITS), axis=0), weights[-1:]])
 
 
-def dealt(tokens: np.ndarray, block: np.ndarray, parts: np.ndarray, order: int) -> pa.RecordBatch:
-    """Tokens as one record a block; ``order`` chooses the part of a crowded block and fixes the order within it."""
-    by = np.argsort(block, kind="stable")
-    block = block[by]
-    first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
-    offsets = (np.append(first, len(block)) * tokens.itemsize).astype(np.int32)
-    packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(tokens[by].tobytes())])
-    own = block[first]
-    part = (np.uint64(order) % parts[own].astype(np.uint64)).astype(np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(own.astype(np.int32)), pa.array(part), pa.array(np.full(len(own), order >> 1, np.int64)), pa.array([] if not len(own) else packed, pa.binary())],
-        ["block", "part", "place", "tokens"],
-    )
-
+def dealt(batch: pa.RecordBatch, vocabulary: Vocabulary, parts: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
+    """Tokens of stored documents as one record a block of this turn, with the documents' rows.
 
-def dealt_tokens(table: pa.Table, kind: np.dtype) -> np.ndarray:
-    """The tokens of a group, in an order that does not depend on how they came."""
-    table = table.sort_by([("place", "ascending"), ("tokens", "ascending")])
-    return np.frombuffer(b"".join(table.column("tokens").to_pylist()), kind)
+    The first text's hash chooses the part of a crowded block and fixes the order within it.
+    """
+    ids = batch.column("row").to_numpy()
+    for start, number, counts, names, classes, order in coded_batches(batch, vocabulary):
+        one, two, three = words_before(counts, names)
+        block = block_of_pair(pairs(one, two), len(parts))
+        mine = np.flatnonzero(block % TURNS == turn)
+        # Blocks as 16-bit numbers are sorted by radix.
+        block = block[mine]
+        by = np.argsort(block.astype(np.uint16) if len(parts) <= 1 << 16 else block, kind="stable")
+        mine, block = mine[by], block[by]
+        tokens = np.empty(len(mine), TOKEN)
+        tokens["at"] = rows_of(hashed_words(one[mine], two[mine], three[mine]), BLOCK_BITS).T
+        tokens["cls"] = classes[mine]
+        rows = np.repeat(ids[start : start + number], counts)[mine]
+        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
+        offsets = np.append(first, len(block))
+        packed = [
+            pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((offsets * x.itemsize).astype(np.int32).tobytes()), pa.py_buffer(x.tobytes())])
+            for x in (tokens, rows)
+        ]
+        own = block[first]
+        part = (np.uint64(order) % parts[own].astype(np.uint64)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(own.astype(np.int32)), pa.array(part), pa.array(np.full(len(own), order >> 1, np.int64)), *packed],
+            ["block", "part", "place", "tokens", "rows"],
+        )
 
 
 _DEALT = "block int, part int, place long, tokens binary"
+_STORED = ("row", "size", "hash", "codes", "names", "kinds")
 
 
 def log_softmax(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Log probabilities of the classes (natural), a row each token."""
-    logits = weights[-1] + weights[features[0]]
+    logits = weights.take(features[0], axis=0)
+    logits += weights[-1]
     for row in features[1:]:
-        logits += weights[row]
+        logits += weights.take(row, axis=0)
     logits -= logits.max(axis=1, keepdims=True)
     logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
     return logits
@@ -204,13 +265,19 @@ def steps(weights: np.ndarray, squares: np.ndarray, features: np.ndarray, classe
         updates = [(np.array([len(weights) - 1]), error.sum(axis=0, keepdims=True))]
         for row in part:
             order = np.argsort(row, kind="stable")
-            row = row[order]
-            start = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1])
-            updates.append((row[start], np.add.reduceat(error[order], start, axis=0)))
+            row = row.take(order)
+            start = np.concatenate([[0], np.flatnonzero(row[1:] != row[:-1]) + 1])
+            updates.append((row[start], np.add.reduceat(error.take(order, axis=0), start, axis=0)))
         for at, gradient in updates:
             gradient /= np.float32(len(goal)) ** 0.5
-            squares[at] += gradient**2
-            weights[at] -= RATE * gradient / np.sqrt(squares[at] + 1e-2)
+            square = squares.take(at, axis=0)
+            square += gradient**2
+            squares[at] = square
+            square += np.float32(1e-2)
+            np.sqrt(square, out=square)
+            gradient *= RATE
+            gradient /= square
+            weights[at] -= gradient
 
 
 def train_classes(rows: DataFrame, vocabulary: Vocabulary, n_blocks: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,14 +291,13 @@ def train_classes(rows: DataFrame, vocabulary: Vocabulary, n_blocks: int) -> tup
 
     def one_round(weights: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            corpus, own, squares, seen = corpus_of_worker(), weights.copy(), np.zeros_like(weights), 0
+            own, squares, seen = weights.copy(), np.zeros_like(weights), 0
             crowd = np.zeros(n_blocks)
             for batch in batches:
-                for _, texts in byte_batches(batch, "body"):
-                    counts, names, kinds = corpus(texts)
+                for _, _, counts, names, classes, _ in coded_batches(batch, vocabulary):
                     hashed = histories(counts, names)
                     crowd += np.bincount(blocks_of(hashed, n_blocks), minlength=n_blocks)
-                    steps(own, squares, rows_of(hashed), vocabulary.find(names, kinds)[1])
+                    steps(own, squares, rows_of(hashed).astype(np.uint16), classes)
                     seen += len(names)
             if seen:
                 parts = [(x * np.float32(seen)).astype(np.float32).tobytes() for x in np.array_split(own, blocks)]
@@ -248,7 +314,7 @@ def train_classes(rows: DataFrame, vocabulary: Vocabulary, n_blocks: int) -> tup
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())], ["block", "weights"])
 
     for number in range(ROUNDS):
-        part = rows.where(F.pmod(F.xxhash64("id", F.lit("round")), F.lit(ROUNDS)) == number).select("body")
+        part = rows.where(F.pmod(F.xxhash64("id", F.lit("round")), F.lit(ROUNDS)) == number).select(*_STORED)
         sent = part.mapInArrow(one_round(weights), "block int, seen long, weights binary")
         found = sent.groupBy("block").applyInArrow(mean, "block int, weights binary").collect()
         if found:
@@ -271,20 +337,21 @@ def without_shuffles(df: DataFrame, name: str) -> DataFrame:
 def train_blocks(rows: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
     """``block`` and its ``weights`` (half floats), trained on all tokens of the block from the common ones; means of a crowded block's parts."""
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus = corpus_of_worker()
-        for batch in batches:
-            for _, texts in byte_batches(batch, "body"):
-                counts, names, kinds = corpus(texts)
-                hashed = histories(counts, names)
-                tokens = np.zeros(len(names), LEARNT)
-                tokens["at"], tokens["cls"] = rows_of(hashed, BLOCK_BITS).T, vocabulary.find(names, kinds)[1]
-                yield dealt(tokens, blocks_of(hashed, len(parts)), parts, xxhash.xxh64_intdigest(texts[0]))
+    def deal(turn: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for found in dealt(batch, vocabulary, parts, turn):
+                    yield found.select(["block", "part", "place", "tokens"])
+
+        return run
 
     def learn(key: tuple, table: pa.Table) -> pa.Table:
-        tokens, own = dealt_tokens(table, LEARNT), widened(weights)
-        steps(own, np.zeros_like(own), tokens["at"].T.astype(np.int64), tokens["cls"].astype(np.int64))
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "seen": pa.array([len(tokens)], pa.int64()), "weights": pa.array([own.astype(np.float16).tobytes()], pa.binary())})
+        # An order that does not depend on how the tokens came.
+        table = table.sort_by([("place", "ascending"), ("tokens", "ascending")])
+        tokens, own = np.frombuffer(b"".join(table.column("tokens").to_pylist()), TOKEN), widened(weights)
+        steps(own, np.zeros_like(own), np.ascontiguousarray(tokens["at"].T), tokens["cls"])
+        block = key[0].as_py()
+        return pa.table({"block": pa.array([block], pa.int32()), "parts": pa.array([int(parts[block])], pa.int64()), "seen": pa.array([len(tokens)], pa.int64()), "weights": pa.array([own.astype(np.float16).tobytes()], pa.binary())})
 
     def mean(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = 0.0, 0
@@ -293,41 +360,63 @@ def train_blocks(rows: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, p
                 total, seen = total + np.frombuffer(packed.as_buffer(), np.float16).astype(np.float64) * n, seen + n
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / seen).astype(np.float16).tobytes()], pa.binary())], ["block", "weights"])
 
-    learnt = rows.select("body").mapInArrow(deal, _DEALT).groupBy("block", "part").applyInArrow(learn, "block int, seen long, weights binary")
-    return without_shuffles(learnt.groupBy("block").applyInArrow(mean, "block int, weights binary"), "block-weights")
+    tables = []
+    for turn in range(min(TURNS, len(parts))):
+        learnt = rows.select(*_STORED).mapInArrow(deal(turn), _DEALT).groupBy("block", "part").applyInArrow(learn, "block int, parts long, seen long, weights binary")
+        learnt = without_shuffles(learnt, "block-weights")
+        tables.append(learnt.where("parts = 1").select("block", "weights"))
+        if (parts[turn::TURNS] > 1).any():
+            tables.append(without_shuffles(learnt.where("parts > 1").groupBy("block").applyInArrow(mean, "block int, weights binary"), "crowded-weights"))
+    return reduce(DataFrame.unionByName, tables)
 
 
-def class_scores(scored: DataFrame, blocks: DataFrame, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
-    """``row`` and ``model_c``, the log10 probability of its classes, of rows with stored tokens (``path``)."""
+def class_scores(scored: DataFrame, vocabulary: Vocabulary, blocks: DataFrame, weights: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """``row`` and ``model_c``, the log10 probability of its classes, of stored documents."""
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("row").to_numpy()
-            for first, paths in byte_batches(batch, "path"):
-                body = b"".join(paths)
-                found = np.frombuffer(body, STEP)
-                tokens = np.zeros(len(found), TOKEN)
-                tokens["at"], tokens["cls"] = found["at"], found["cls"]
-                tokens["row"] = np.repeat(ids[first : first + len(paths)], [len(x) // STEP.itemsize for x in paths])
-                yield dealt(tokens, found["block"].astype(np.int64), parts, xxhash.xxh64_intdigest(body))
+    def deal(turn: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield from dealt(batch, vocabulary, parts, turn)
+
+        return run
 
     def apply(table: pa.Table, own: pa.Table) -> pa.Table:
-        tokens = dealt_tokens(table, TOKEN) if table.num_rows else np.zeros(0, TOKEN)
+        table = table.sort_by([("place", "ascending"), ("tokens", "ascending")])
+        tokens, rows = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("tokens", TOKEN), ("rows", np.int64)))
         # A block without training tokens has the common weights.
         known = np.frombuffer(own.column("weights")[0].as_buffer(), np.float16).astype(np.float32).reshape(-1, CLASSES) if own.num_rows else widened(weights)
         value = np.empty(len(tokens))
         for i in range(0, len(tokens), STEP_TOKENS):
             some = tokens[i : i + STEP_TOKENS]
-            value[i : i + STEP_TOKENS] = log_softmax(known, some["at"].T.astype(np.int64))[np.arange(len(some)), some["cls"]]
-        row, at = np.unique(tokens["row"], return_inverse=True)
-        return pa.table({"row": pa.array(row, pa.int64()), "model_c": pa.array(np.bincount(at, value, len(row)) / np.log(10), pa.float64())})
+            value[i : i + STEP_TOKENS] = log_softmax(known, np.ascontiguousarray(some["at"].T))[np.arange(len(some)), some["cls"]]
+        row, at = np.unique(rows, return_inverse=True)
+        value = np.bincount(at, value, len(row)) / np.log(10)
+        group = (mix(row.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        by = np.argsort(group, kind="stable")
+        cut = np.flatnonzero(np.diff(group[by], prepend=-1))
+        sent = [[x[a:b].tobytes() for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(by)])] for x in (row[by], value[by])]
+        return pa.table({"docs": pa.array(group[by][cut], pa.int64()), "rows": pa.array(sent[0], pa.binary()), "values": pa.array(sent[1], pa.binary())})
+
+    def sums(key: tuple, table: pa.Table) -> pa.Table:
+        # An order that does not depend on how the blocks came.
+        table = table.sort_by([("rows", "ascending"), ("values", "ascending")])
+        rows, values = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("rows", np.int64), ("values", np.float64)))
+        row, at = np.unique(rows, return_inverse=True)
+        return pa.table({"row": pa.array(row, pa.int64()), "model_c": pa.array(np.bincount(at, values, len(row)), pa.float64())})
 
     spark = scored.sparkSession
+    tokens_of_all = scored.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    groups = max(1, -(-int(tokens_of_all) // GROUP_TOKENS))
     copies = spark.createDataFrame([(b, p) for b, n in enumerate(parts.tolist()) for p in range(n)], "block int, part int")
-    known = copies.join(blocks, "block").groupBy("block", "part")
-    found = scored.select("row", "path").mapInArrow(deal, _DEALT).groupBy("block", "part").cogroup(known)
-    sums = found.applyInArrow(apply, "row long, model_c double").groupBy("row").agg(F.sum("model_c").alias("model_c"))
-    return without_shuffles(sums, "class-sums")
+    sums_of_turns = []
+    for turn in range(min(TURNS, len(parts))):
+        # The few numbers go to the tables, so that these travel once.
+        known = blocks.where(F.col("block") % TURNS == turn).join(F.broadcast(copies), "block").groupBy("block", "part")
+        found = scored.select(*_STORED).mapInArrow(deal(turn), _DEALT + ", rows binary").groupBy("block", "part").cogroup(known)
+        # A block's documents travel as one record a group of documents, not as a row each.
+        of_turn = found.applyInArrow(apply, "docs long, rows binary, values binary").groupBy("docs").applyInArrow(sums, "row long, model_c double")
+        sums_of_turns.append(without_shuffles(of_turn, "class-sums"))
+    return reduce(DataFrame.unionByName, sums_of_turns).groupBy("row").agg(F.sum("model_c").alias("model_c"))
 
 
 def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -340,8 +429,7 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
     an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(key).alias("id"), as_bytes(text).alias("body"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    training = rows.where("learn")
-    counts = materialise(token_counts(training), "counts")
+    counts = without_shuffles(token_counts(rows.where("learn")), "counts")
     bins = counts.groupBy(F.floor(F.log2("n") * 16).alias("bin")).agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).collect()
     total, words = sum(r["tokens"] for r in bins), sum(r["words"] for r in bins)
     once, twice = (sum(r["words"] for r in bins if r["bin"] == b) for b in (0, 16))
@@ -357,9 +445,6 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
     rare = {r["kind"]: (r["n"], r["words"]) for r in counts.where(~in_head).groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
     vocabulary = Vocabulary(head["name"].to_numpy(np.int64), head["n"].to_numpy(np.int64), head["kind"].to_numpy(np.int64), rare, total, words, discount)
     n_blocks = max(1, -(-int(total) // BLOCK_TOKENS))
-    weights, shares = train_classes(training, vocabulary, n_blocks)
-    parts = np.maximum(np.ceil(shares * total / PART_TOKENS), 1).astype(np.int64)
-    blocks = train_blocks(training, vocabulary, weights, parts)
     spread = float(total + words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,12 +452,7 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
         for batch in batches:
             for first, texts in byte_batches(batch, "body"):
                 sizes, names, kinds = corpus(texts)
-                at, classes = vocabulary.find(names, kinds)
-                hashed = histories(sizes, names)
-                path = np.empty(len(names), STEP)
-                path["at"], path["cls"], path["block"] = rows_of(hashed, BLOCK_BITS).T, classes, blocks_of(hashed, n_blocks)
-                path_offsets = (starts_of(sizes) * STEP.itemsize).astype(np.int32)
-                packed = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(path_offsets.tobytes()), pa.py_buffer(path.tobytes())])
+                at, _ = vocabulary.find(names, kinds)
                 hit = at >= 0
                 own = np.where(hit, at, 0)
                 base = np.where(hit, np.log10((vocabulary.counts[own] + 1) / spread), 0) if len(vocabulary.counts) else np.zeros(len(names))
@@ -382,22 +462,32 @@ def score_documents(docs: DataFrame, learn: Column, key: str = "doc_id", text: s
                 text_of, other, kind = text_of[order], names[~hit][order], kinds[~hit][order]
                 cut = np.concatenate([[0], np.flatnonzero((np.diff(text_of) != 0) | (np.diff(other) != 0)) + 1]) if len(other) else np.zeros(0, np.int64)
                 times = np.diff(np.append(cut, len(other)))
-                offsets = starts_of(np.bincount(text_of[cut], minlength=len(texts))).astype(np.int32)
+                begin = starts_of(np.bincount(text_of[cut], minlength=len(texts)))
+                offsets = begin.astype(np.int32)
+                codes = at.astype(CODE)
+                listed = np.repeat(np.arange(len(cut)), times) - begin[text_of]
+                codes[np.flatnonzero(~hit)[order]] = len(vocabulary.names) + listed
+                packed = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((starts_of(sizes) * CODE.itemsize).astype(np.int32).tobytes()), pa.py_buffer(codes.tobytes())])
                 lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (other[cut], kind[cut].astype(np.int32), times.astype(np.int64))]
                 sums = [sum_by_row(x, sizes) for x in (hit, base, within)]
+                hashes = np.array([xxhash.xxh64_intdigest(x) for x in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(texts)), pa.array(sizes), pa.array(sums[0].round().astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), packed, *lists],
-                    ["id", "n_tokens", "known", "base", "model", "path", "names", "kinds", "times"],
+                    [batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)), pa.array([len(x) for x in texts], pa.int64()), pa.array(hashes), pa.array(sizes), pa.array(sums[0].round().astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), packed, *lists],
+                    ["id", "learn", "size", "hash", "n_tokens", "known", "base", "model", "codes", "names", "kinds", "times"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
-    scored = rows.select("id", "body").mapInArrow(
-        run, f"id {kind}, n_tokens long, known long, base double, model double, path binary, names array<long>, kinds array<int>, times array<long>"
+    scored = rows.select("id", "learn", "body").mapInArrow(
+        run, f"id {kind}, learn boolean, size long, hash long, n_tokens long, known long, base double, model double, codes binary, names array<long>, kinds array<int>, times array<long>"
     )
     scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    training = scored.where("learn")
+    weights, shares = train_classes(training, vocabulary, n_blocks)
+    parts = np.maximum(np.ceil(shares * total / PART_TOKENS), 1).astype(np.int64)
+    blocks = train_blocks(training, vocabulary, weights, parts)
     all_tokens = scored.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     parts = np.maximum(np.ceil(shares * all_tokens / PART_TOKENS), 1).astype(np.int64)
-    class_sums = class_scores(scored, blocks, weights, parts)
+    class_sums = class_scores(scored, vocabulary, blocks, weights, parts)
     others = scored.select("row", F.explode(F.arrays_zip("names", "kinds", "times")).alias("t")).select("row", "t.names", "t.kinds", "t.times")
     others = others.join(counts.where(~in_head).select(F.col("name").alias("names"), "n"), "names", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     seen = F.lit(None).cast("double")
